@@ -4,21 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The first row of every key by ``order``, ties broken by all other columns.
+    """The first row of every key by ``order``, ties broken by all other columns, NULL first.
 
-    Every row of a tie that is left is equal in all columns, so the outcome does
-    not depend on partitioning. The rank filter becomes a group limit on both
-    sides of the shuffle: each task ships one row per key, which keeps a key
-    that holds a third of the table harmless.
+    Rows of a tie that is left are equal in all columns, so the outcome does not
+    depend on partitioning. The smallest struct per key is found on both sides of
+    the shuffle: each task ships one row per key, which keeps a key that holds a
+    third of the table harmless. Grouping by the hash ahead of the key lets the
+    sort under the aggregate compare numbers instead of text.
     """
     rest = [c for c in df.columns if c not in keys and c not in order]
-    ranked = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in (*order, *rest)])
-    return df.withColumn("_rank", F.row_number().over(ranked)).where("_rank = 1").drop("_rank")
+    first = F.min(F.struct(*order, *rest)).alias("_first")
+    chosen = df.withColumn("_hash", F.xxhash64(*keys)).groupBy("_hash", *keys).agg(first)
+    return chosen.select(*[F.col(c) if c in keys else F.col(f"_first.{c}") for c in df.columns])
 
 
 def first_non_null(df: DataFrame, keys: Sequence[str], value: str, order: str) -> DataFrame:

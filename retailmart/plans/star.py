@@ -59,13 +59,16 @@ def primary_key(name: str) -> str:
 
 
 # --- dimensions in natural form: deduplicated, parents still by name ---------
+#
+# Only the key is cleaned on every row. The attributes of the row that is kept are
+# cleaned afterwards, once per dimension row.
 
 
 def pet_breeds(read: StagingReader) -> DataFrame:
     rows = read("id", "customer_pet_breed", "customer_pet_type")
     rows = rows.where(not_blank("customer_pet_breed") & F.col("customer_pet_type").isNotNull())
-    rows = rows.select("id", clean("customer_pet_breed").alias("breed_name"), clean("customer_pet_type").alias("pet_type"))
-    return first_by(rows, ["breed_name"], ["id"]).drop("id")
+    rows = rows.select("id", clean("customer_pet_breed").alias("breed_name"), "customer_pet_type")
+    return first_by(rows, ["breed_name"], ["id"]).select("breed_name", clean("customer_pet_type").alias("pet_type"))
 
 
 def pets(read: StagingReader, breeds: DataFrame) -> DataFrame:
@@ -81,39 +84,36 @@ def pets(read: StagingReader, breeds: DataFrame) -> DataFrame:
 
 
 def customers(read: StagingReader) -> DataFrame:
-    rows = read(
-        "id", "sale_customer_id", "customer_first_name", "customer_last_name", "customer_age", "customer_email",
-        "customer_country", "customer_postal_code", "customer_pet_name",
+    attributes = (
+        "sale_customer_id", "customer_first_name", "customer_last_name", "customer_age", "customer_country",
+        "customer_postal_code", "customer_pet_name",
     )
-    rows = rows.where(not_blank("customer_email")).select(
-        "id",
+    rows = read("id", "customer_email", *attributes).where(not_blank("customer_email"))
+    rows = rows.select("id", email("customer_email").alias("email"), *attributes)
+    return first_by(rows, ["email"], ["id"]).select(
         F.col("sale_customer_id").alias("customer_id"),
         clean("customer_first_name").alias("first_name"),
         clean("customer_last_name").alias("last_name"),
         F.col("customer_age").alias("age"),
-        email("customer_email").alias("email"),
+        "email",
         clean("customer_country").alias("country"),
         clean("customer_postal_code").alias("postal_code"),
         clean("customer_pet_name").alias("pet_name"),
     )
-    return first_by(rows, ["email"], ["id"]).drop("id")
 
 
 def sellers(read: StagingReader) -> DataFrame:
-    rows = read(
-        "id", "sale_seller_id", "seller_first_name", "seller_last_name", "seller_email", "seller_country",
-        "seller_postal_code",
-    )
-    rows = rows.where(not_blank("seller_email")).select(
-        "id",
+    attributes = ("sale_seller_id", "seller_first_name", "seller_last_name", "seller_country", "seller_postal_code")
+    rows = read("id", "seller_email", *attributes).where(not_blank("seller_email"))
+    rows = rows.select("id", email("seller_email").alias("email"), *attributes)
+    return first_by(rows, ["email"], ["id"]).select(
         F.col("sale_seller_id").alias("seller_id"),
         clean("seller_first_name").alias("first_name"),
         clean("seller_last_name").alias("last_name"),
-        email("seller_email").alias("email"),
+        "email",
         clean("seller_country").alias("country"),
         clean("seller_postal_code").alias("postal_code"),
     )
-    return first_by(rows, ["email"], ["id"]).drop("id")
 
 
 def store_locations(read: StagingReader) -> DataFrame:
@@ -126,12 +126,11 @@ def store_locations(read: StagingReader) -> DataFrame:
 
 
 def stores(read: StagingReader) -> DataFrame:
-    rows = read(
-        "id", "store_name", "store_location", "store_city", "store_state", "store_country", "store_phone", "store_email"
-    )
-    rows = rows.where(not_blank("store_name")).select(
-        "id",
-        clean("store_name").alias("store_name"),
+    attributes = ("store_location", "store_city", "store_state", "store_country", "store_phone", "store_email")
+    rows = read("id", "store_name", *attributes).where(not_blank("store_name"))
+    rows = rows.select("id", clean("store_name").alias("store_name"), *attributes)
+    return first_by(rows, ["store_name"], ["id"]).select(
+        "store_name",
         clean("store_location").alias("location"),
         or_unknown("store_city").alias("city"),
         clean("store_state").alias("state"),
@@ -139,62 +138,61 @@ def stores(read: StagingReader) -> DataFrame:
         clean("store_phone").alias("phone"),
         clean("store_email").alias("email"),
     )
-    return first_by(rows, ["store_name"], ["id"]).drop("id")
 
 
 def product_categories(read: StagingReader) -> DataFrame:
     rows = read("id", "product_category", "pet_category").where(not_blank("product_category"))
-    rows = rows.select("id", clean("product_category").alias("category_name"), clean("pet_category").alias("pet_category"))
-    return first_by(rows, ["category_name"], ["id"]).drop("id")
+    rows = rows.select("id", clean("product_category").alias("category_name"), "pet_category")
+    return first_by(rows, ["category_name"], ["id"]).select("category_name", clean("pet_category").alias("pet_category"))
 
 
 def suppliers(read: StagingReader) -> DataFrame:
-    rows = read(
-        "id", "supplier_name", "supplier_contact", "supplier_email", "supplier_phone", "supplier_address",
-        "supplier_city", "supplier_country",
+    attributes = (
+        "supplier_name", "supplier_contact", "supplier_phone", "supplier_address", "supplier_city", "supplier_country",
     )
-    rows = rows.where(not_blank("supplier_email")).select(
-        "id",
+    rows = read("id", "supplier_email", *attributes).where(not_blank("supplier_email"))
+    rows = rows.select("id", email("supplier_email").alias("email"), *attributes)
+    return first_by(rows, ["email"], ["id"]).select(
         clean("supplier_name").alias("supplier_name"),
         clean("supplier_contact").alias("contact_name"),
-        email("supplier_email").alias("email"),
+        "email",
         clean("supplier_phone").alias("phone"),
         clean("supplier_address").alias("address"),
         clean("supplier_city").alias("city"),
         clean("supplier_country").alias("country"),
     )
-    return first_by(rows, ["email"], ["id"]).drop("id")
 
 
 def products(read: StagingReader) -> DataFrame:
-    rows = read(
-        "id", "sale_product_id", "product_name", "product_category", "supplier_email", "product_price", "product_weight",
-        "product_color", "product_size", "product_brand", "product_material", "product_description", "product_rating",
-        "product_reviews", "product_release_date", "product_expiry_date",
+    attributes = (
+        "sale_product_id", "product_category", "supplier_email", "product_weight", "product_brand", "product_material",
+        "product_description", "product_rating", "product_reviews", "product_release_date", "product_expiry_date",
     )
+    rows = read("id", "product_name", "product_color", "product_size", "product_price", *attributes)
     rows = rows.where(not_blank("product_name")).select(
         "id",
-        F.col("sale_product_id").alias("product_id"),
         clean("product_name").alias("product_name"),
+        blank_to_null("product_color").alias("color"),
+        blank_to_null("product_size").alias("size"),
+        F.col("product_price").alias("price"),
+        *attributes,
+    )
+    return first_by(rows, KEY_ORDER["dimension_products"], ["id"]).select(
+        F.col("sale_product_id").alias("product_id"),
+        "product_name",
         clean("product_category").alias("category"),
         email("supplier_email").alias("supplier"),
-        F.col("product_price").alias("price"),
+        "price",
         F.col("product_weight").alias("weight"),
-        blank_to_null("product_color").alias("color"),
-        blank_to_null("product_size").alias("size"),
+        "color",
+        "size",
         clean("product_brand").alias("brand"),
         clean("product_material").alias("material"),
         F.col("product_description").alias("description"),
         F.col("product_rating").alias("rating"),
         F.col("product_reviews").alias("reviews_count"),
-        "product_release_date",
-        "product_expiry_date",
-    )
-    chosen = first_by(rows, KEY_ORDER["dimension_products"], ["id"])
-    return (
-        chosen.withColumn("release_date", parse_date("product_release_date"))
-        .withColumn("expiry_date", parse_date("product_expiry_date"))
-        .drop("id", "product_release_date", "product_expiry_date")
+        parse_date("product_release_date").alias("release_date"),
+        parse_date("product_expiry_date").alias("expiry_date"),
     )
 
 

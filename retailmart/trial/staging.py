@@ -115,6 +115,16 @@ def _sql_type(name: str) -> str:
     return STAGING[name].dataType.simpleString()
 
 
+def _spread(lines: DataFrame) -> DataFrame:
+    """Line items over all cores when a small file comes in fewer splits than there are cores.
+
+    Hashed by order, so that the join with orders finds them in place. A table of
+    many splits is left as it is.
+    """
+    cores = lines.sparkSession.sparkContext.defaultParallelism
+    return lines.repartition(cores, "l_orderkey") if lines.rdd.getNumPartitions() < cores else lines
+
+
 def staging(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] = ()) -> DataFrame:
     """Staging with the given columns (all when none is given), joining only the tables they need."""
     names = columns or tuple(STAGING.names)
@@ -123,7 +133,7 @@ def staging(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] = ()) ->
     def table(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
-    rows = table("lineitem")
+    rows = _spread(table("lineitem"))
     if "c_" in text or "cn_" in text or "o_" in text:
         orders = table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         if "c_" in text or "cn_" in text:
