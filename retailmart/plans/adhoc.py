@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from retailmart.functions.numbers import MONEY_SUM, mean_money, ratio
 from retailmart.functions.text import full_name
 from retailmart.operators.ranking import top_k
-from retailmart.plans.marts import categorised_sales, customer_sales, daily_sales, store_sales
+from retailmart.plans.marts import categorised_sales, store_sales
 from retailmart.plans.star import Star
 
 # fixed values: lengths of the ranked answers
@@ -39,7 +39,7 @@ def q_by_category(star: Star) -> DataFrame:
 
 
 def q_top_customers(star: Star) -> DataFrame:
-    rows = customer_sales(star, "first_name", "last_name", "email", "country")
+    rows = star.sold("customer_key", "first_name", "last_name", "email", "country")
     best = top_k(rows, "revenue", BEST_CUSTOMERS, ["customer_key"])
     return best.select(
         full_name("first_name", "last_name").alias("customer_name"),
@@ -51,8 +51,8 @@ def q_top_customers(star: Star) -> DataFrame:
 
 
 def q_top_sellers(star: Star) -> DataFrame:
-    sellers = star.table("dimension_sellers", "seller_key", "first_name", "last_name", "country")
-    best = top_k(star.totals("seller_key").join(sellers, "seller_key"), "revenue", BEST_SELLERS, ["seller_key"])
+    rows = star.sold("seller_key", "first_name", "last_name", "country")
+    best = top_k(rows, "revenue", BEST_SELLERS, ["seller_key"])
     return best.select(
         full_name("first_name", "last_name").alias("seller_name"),
         "country",
@@ -80,12 +80,12 @@ def q_by_store(star: Star) -> DataFrame:
 
 
 def q_by_month(star: Star) -> DataFrame:
-    rows = daily_sales(star, "year", "month", "month_name").groupBy("year", "month", "month_name")
+    rows = star.sold("date_key", "year", "month", "month_name").groupBy("year", "month", "month_name")
     return rows.agg(*_count_and_revenue()).orderBy("year", "month")
 
 
 def q_by_customer_country(star: Star) -> DataFrame:
-    rows = customer_sales(star, "country").groupBy("country")
+    rows = star.sold("customer_key", "country").groupBy("country")
     rows = rows.agg(F.count("*").alias("customer_count"), *_count_and_revenue())
     return rows.orderBy(F.desc(REVENUE), "country")
 

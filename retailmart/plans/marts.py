@@ -48,15 +48,10 @@ def _mart_mean(alias: str) -> Column:
 # --- products ---------------------------------------------------------------
 
 
-def product_sales(star: Star, *attributes: str) -> DataFrame:
-    products = star.table("dimension_products", "product_key", *attributes)
-    return star.totals("product_key").join(products, "product_key")
-
-
 def categorised_sales(star: Star, *attributes: str, category: tuple[str, ...] = ("category_name",)) -> DataFrame:
     """Sales of products that have a category."""
     categories = star.table("dimension_product_categories", "category_key", *category)
-    return product_sales(star, "category_key", *attributes).join(categories, "category_key")
+    return star.sold("product_key", "category_key", *attributes).join(categories, "category_key")
 
 
 def report_products_sales(star: Star) -> DataFrame:
@@ -91,14 +86,9 @@ def product_ratings(star: Star) -> DataFrame:
 # --- customers --------------------------------------------------------------
 
 
-def customer_sales(star: Star, *attributes: str) -> DataFrame:
-    customers = star.table("dimension_customers", "customer_key", *attributes)
-    return star.totals("customer_key").join(customers, "customer_key")
-
-
 def report_customers_sales(star: Star) -> DataFrame:
     """One row per customer already: nothing is left to group."""
-    rows = customer_sales(star, "first_name", "last_name", "country").select(
+    rows = star.sold("customer_key", "first_name", "last_name", "country").select(
         "customer_key",
         "first_name",
         "last_name",
@@ -116,7 +106,7 @@ def _customer_columns(*measures: Column) -> list:
 
 
 def top_customers(star: Star) -> DataFrame:
-    rows = customer_sales(star, "first_name", "last_name", "country").select(
+    rows = star.sold("customer_key", "first_name", "last_name", "country").select(
         *_customer_columns(
             F.col("revenue").cast(MONEY_SUM).alias("total_purchases"),
             F.col("quantity").alias("total_items"),
@@ -129,12 +119,12 @@ def top_customers(star: Star) -> DataFrame:
 
 def customers_by_country(star: Star) -> DataFrame:
     """Rows are one per customer, so counting them counts distinct customers."""
-    rows = customer_sales(star, "country").groupBy("country")
+    rows = star.sold("customer_key", "country").groupBy("country")
     return rows.agg(F.count("*").alias("customer_count"), _revenue(), _mean("avg_order_value"))
 
 
 def customer_avg_check(star: Star) -> DataFrame:
-    return customer_sales(star, "first_name", "last_name", "country").select(
+    return star.sold("customer_key", "first_name", "last_name", "country").select(
         *_customer_columns(
             mean_money(F.col("revenue"), F.col("sales")).alias("avg_check"),
             F.col("revenue").cast(MONEY_SUM).alias("total_spent"),
@@ -143,36 +133,30 @@ def customer_avg_check(star: Star) -> DataFrame:
     )
 
 
-# --- time -------------------------------------------------------------------
-
-
-def daily_sales(star: Star, *attributes: str) -> DataFrame:
-    """Sales with a date in the calendar: at most one row per day."""
-    dates = star.table("dimension_dates", "date_key", *attributes)
-    return star.totals("date_key").join(dates, "date_key")
+# --- time: only sales with a date in the calendar, summed per day first -------------------------------------------------------------------
 
 
 def report_time_sales(star: Star) -> DataFrame:
     groups = ("date_key", "full_date", "year", "month", "quarter", "month_name")
-    rows = daily_sales(star, *groups[1:]).groupBy(*groups)
+    rows = star.sold("date_key", *groups[1:]).groupBy(*groups)
     rows = rows.agg(_revenue("daily_revenue"), _quantity("daily_quantity"), _sales(), _mart_mean("avg_order_size"))
     return enforce(rows, MARTS["report_time_sales"])
 
 
 def monthly_trends(star: Star) -> DataFrame:
-    rows = daily_sales(star, "year", "month", "month_name").groupBy("year", "month", "month_name")
+    rows = star.sold("date_key", "year", "month", "month_name").groupBy("year", "month", "month_name")
     rows = rows.agg(_revenue("monthly_revenue"), _quantity("monthly_quantity"), _sales(), _mean("avg_order_size"))
     return rows.orderBy("year", "month")
 
 
 def quarterly_trends(star: Star) -> DataFrame:
-    rows = daily_sales(star, "year", "quarter").groupBy("year", "quarter")
+    rows = star.sold("date_key", "year", "quarter").groupBy("year", "quarter")
     rows = rows.agg(_revenue("quarterly_revenue"), _quantity("quarterly_quantity"), _sales())
     return rows.orderBy("year", "quarter")
 
 
 def yearly_trends(star: Star) -> DataFrame:
-    rows = daily_sales(star, "year").groupBy("year")
+    rows = star.sold("date_key", "year").groupBy("year")
     rows = rows.agg(_revenue("yearly_revenue"), _quantity("yearly_quantity"), _sales(), _mean("avg_order_size"))
     return rows.orderBy("year")
 
@@ -197,9 +181,8 @@ def period_comparison(star: Star) -> DataFrame:
 
 def store_sales(star: Star, *attributes: str) -> DataFrame:
     """Sales of stores that have a location."""
-    stores = star.table("dimension_stores", "store_key", "location_key", *attributes)
     places = star.table("dimension_store_locations", "location_key", "city", "country")
-    return star.totals("store_key").join(stores, "store_key").join(places, "location_key")
+    return star.sold("store_key", "location_key", *attributes).join(places, "location_key")
 
 
 def report_stores_sales(star: Star) -> DataFrame:
@@ -231,7 +214,7 @@ def store_avg_check(star: Star) -> DataFrame:
 def supplier_sales(star: Star, *attributes: str) -> DataFrame:
     """Sales of products that have a supplier, one row per product."""
     suppliers = star.table("dimension_suppliers", "supplier_key", *attributes)
-    return product_sales(star, "supplier_key", "price").join(suppliers, "supplier_key")
+    return star.sold("product_key", "supplier_key", "price").join(suppliers, "supplier_key")
 
 
 def report_suppliers_sales(star: Star) -> DataFrame:
@@ -267,7 +250,7 @@ def sales_by_supplier_country(star: Star) -> DataFrame:
 
 def report_product_quality(star: Star) -> DataFrame:
     """The average rating of one rating is that rating."""
-    rows = product_sales(star, "product_name", "rating", "reviews_count").groupBy("product_name", "rating", "reviews_count")
+    rows = star.sold("product_key", "product_name", "rating", "reviews_count").groupBy("product_name", "rating", "reviews_count")
     rows = rows.agg(_quantity("total_quantity_sold"), _revenue(), _sales()).withColumn("avg_rating", F.col("rating"))
     return enforce(rows, MARTS["report_product_quality"])
 
@@ -282,7 +265,7 @@ def products_by_reviews(star: Star) -> DataFrame:
 
 
 def rating_sales(star: Star) -> DataFrame:
-    rows = product_sales(star, "product_name", "rating").groupBy("product_name", "rating")
+    rows = star.sold("product_key", "product_name", "rating").groupBy("product_name", "rating")
     rows = rows.agg(_quantity("total_quantity_sold"), _revenue(), _sales())
     return rows.withColumn("avg_rating", F.col("rating").cast("decimal(7,5)"))
 
@@ -311,6 +294,15 @@ MART_PLANS = {
     "report_product_quality": report_product_quality,
 }
 
+# Dimensions whose surrogate key a report shows.
+SHOWN_KEYS = {
+    "report_customers_sales": ("dimension_customers",),
+    "report_stores_sales": ("dimension_stores",),
+    "report_suppliers_sales": ("dimension_suppliers",),
+    "top_customers": ("dimension_customers",),
+    "customer_avg_check": ("dimension_customers",),
+}
+
 BREAKDOWNS = {
     "top_products": top_products,
     "revenue_by_category": revenue_by_category,

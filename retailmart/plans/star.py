@@ -14,7 +14,7 @@ Reports ask a star for two things:
 from __future__ import annotations
 
 from abc import ABC, abstractmethod
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +52,8 @@ FACT_KEYS = {
     "store_key": ("dimension_stores", {"store_name": "store_name"}),
 }
 NULL_SAFE = ("product_color", "product_size")
+DIMENSION_OF = {**{key: dimension for key, (dimension, _) in FACT_KEYS.items()}, "date_key": "dimension_dates"}
+MEASURES = ("quantity", "revenue", "sales")
 
 
 def primary_key(name: str) -> str:
@@ -272,6 +274,10 @@ class Star(ABC):
     def totals(self, *keys: str) -> DataFrame:
         """``quantity, revenue, sales`` per combination of fact keys."""
 
+    def sold(self, key: str, *attributes: str) -> DataFrame:
+        """``totals`` of one fact key with attributes of its dimension."""
+        return self.totals(key).join(self.table(DIMENSION_OF[key], key, *attributes), key)
+
 
 class StoredStar(Star):
     """A star schema that was written before."""
@@ -289,13 +295,16 @@ class StoredStar(Star):
 class DerivedStar(Star):
     """A star schema computed from staging when asked for.
 
-    ``read(*columns)`` gives staging with these columns. A dimension that needs its
-    surrogate key is written once per star (see ``number_rows``) and reused.
+    ``read(*columns)`` gives staging with these columns. Dimensions in ``dense`` have
+    numbers 1..n as surrogate keys; they are written once per star (``number_rows``)
+    and reused. All others are keyed by their natural key, which sorts and matches
+    alike and costs no lookup: reports that do not show a key need no number.
     """
 
-    def __init__(self, spark: SparkSession, read: StagingReader):
+    def __init__(self, spark: SparkSession, read: StagingReader, dense: Iterable[str] = tuple(KEY_ORDER)):
         self._spark = spark
         self._read = read
+        self._dense = set(dense)
         self._numbered: dict[str, DataFrame] = {}
         self._stored: dict[str, DataFrame] = {}
 
@@ -309,28 +318,40 @@ class DerivedStar(Star):
         if name in self._stored:
             return self._stored[name].select(*columns)
         if name == "fact_sales":
-            return self._fact(columns).select(*columns)
+            return self._with_fact_keys(sales(self._read), columns).select(*columns)
         if name == "dimension_dates":
             return calendar(self._spark).select(*columns)
         rows = self._with_key(name) if primary_key(name) in columns else self._natural(name)
         return self._with_parents(name, rows, columns).select(*columns)
 
     def totals(self, *keys: str) -> DataFrame:
-        if "fact_sales" in self._stored:
-            return _summed(self._stored["fact_sales"], list(keys))
-        rows = sales(self._read)
+        return self._with_fact_keys(self._natural_totals(keys), keys).select(*keys, *MEASURES)
+
+    def sold(self, key: str, *attributes: str) -> DataFrame:
+        if not self._needs_lookup(key):
+            return super().sold(key, *attributes)
+        # One join finds the number and the attributes but those that came with the sales.
+        dimension, on = FACT_KEYS[key]
+        keyed = self.table(dimension, *dict.fromkeys((key, *on.values(), *attributes)))
+        take = [key, *[a for a in attributes if on.get(a) != a]]
+        found = lookup(self._natural_totals((key,)), keyed, on, take, null_safe=NULL_SAFE)
+        return found.select(key, *MEASURES, *attributes)
+
+    def _natural_totals(self, keys: tuple[str, ...]) -> DataFrame:
         natural = [c for k in keys for c in (FACT_KEYS[k][1] if k in FACT_KEYS else (k,))]
-        return self._with_fact_keys(_summed(rows, natural), keys).select(*keys, "quantity", "revenue", "sales")
+        return _summed(sales(self._read), natural)
 
-    def _fact(self, columns: tuple[str, ...]) -> DataFrame:
-        return self._with_fact_keys(sales(self._read), columns)
+    def _needs_lookup(self, key: str) -> bool:
+        return key in FACT_KEYS and FACT_KEYS[key][0] in self._dense
 
     def _with_fact_keys(self, rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
         for key in keys:
             if key in FACT_KEYS:
                 dimension, on = FACT_KEYS[key]
-                keyed = self.table(dimension, key, *on.values())
-                rows = lookup(rows, keyed, on, [key], null_safe=NULL_SAFE)
+                if self._needs_lookup(key):
+                    rows = lookup(rows, self.table(dimension, key, *on.values()), on, [key], null_safe=NULL_SAFE)
+                else:
+                    rows = rows.withColumn(key, _natural_key(on))
         return rows
 
     def _natural(self, name: str) -> DataFrame:
@@ -339,8 +360,11 @@ class DerivedStar(Star):
         return NATURAL[name](self._read)
 
     def _with_key(self, name: str) -> DataFrame:
+        key, order = primary_key(name), KEY_ORDER[name]
+        if name not in self._dense:
+            return self._natural(name).withColumn(key, _natural_key({c: c for c in order}))
         if name not in self._numbered:
-            self._numbered[name] = number_rows(self._natural(name), KEY_ORDER[name], primary_key(name))
+            self._numbered[name] = number_rows(self._natural(name), order, key)
         return self._numbered[name]
 
     def _with_parents(self, name: str, rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
@@ -355,9 +379,21 @@ class DerivedStar(Star):
             return lookup(rows, place, {c: c for c in ("city", "state", "country")}, ["location_key"], "left")
         if name == "dimension_products":
             if "category_key" in columns:
-                category = self.table("dimension_product_categories", "category_key", "category_name")
-                rows = lookup(rows, category, {"category": "category_name"}, ["category_key"], "left")
+                rows = self._with_parent(rows, "category", "dimension_product_categories", "category_name")
             if "supplier_key" in columns:
-                supplier = self.table("dimension_suppliers", "supplier_key", "email")
-                rows = lookup(rows, supplier, {"supplier": "email"}, ["supplier_key"], "left")
+                rows = self._with_parent(rows, "supplier", "dimension_suppliers", "email")
         return rows
+
+    def _with_parent(self, rows: DataFrame, column: str, parent: str, natural: str) -> DataFrame:
+        """Key of a parent that exists for every text that is not blank."""
+        key = primary_key(parent)
+        if parent in self._dense:
+            return lookup(rows, self.table(parent, key, natural), {column: natural}, [key], "left")
+        return rows.withColumn(key, F.nullif(F.col(column), F.lit("")))
+
+
+def _natural_key(columns: Mapping[str, str]) -> Column:
+    """The natural key as one value: text, or a struct, in which NULL equals NULL."""
+    if len(columns) == 1:
+        return F.col(*columns)
+    return F.struct(*[F.col(c).alias(name) for c, name in columns.items()])

@@ -16,22 +16,37 @@ from retailmart.operators.joins import lookup
 from retailmart.operators.keys import number_rows
 from retailmart.plans import audits
 from retailmart.plans.adhoc import ADHOC
-from retailmart.plans.marts import BREAKDOWNS, MART_PLANS, best_selling_rows, preview
-from retailmart.plans.star import KEY_ORDER, DerivedStar, complete_sale, known_parties, store_locations, stores
+from retailmart.plans.marts import BREAKDOWNS, MART_PLANS, SHOWN_KEYS, best_selling_rows, preview
+from retailmart.plans.star import (
+    KEY_ORDER,
+    DerivedStar,
+    StagingReader,
+    complete_sale,
+    known_parties,
+    primary_key,
+    store_locations,
+    stores,
+)
 from retailmart.schemas import STAR
 from retailmart.sources.csv_files import ingest_csv, offset_ids
 from retailmart.sources.scratch import shared_folder
-from retailmart.trial.staging import staging
+from retailmart.trial.staging import staging, trial_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def reader(spark: SparkSession, sf_dir: str):
-    return lambda *columns: staging(spark, sf_dir, columns)
+def reader(spark: SparkSession, sf_dir: str) -> StagingReader:
+    tables = trial_tables(spark, sf_dir)
+    return lambda *columns: staging(tables, columns)
+
 
+def read(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return reader(spark, sf_dir)(*columns)
 
-def derived(spark: SparkSession, sf_dir: str) -> DerivedStar:
-    return DerivedStar(spark, reader(spark, sf_dir))
+
+def derived(spark: SparkSession, sf_dir: str, *dense: str) -> DerivedStar:
+    """A star with numbered keys in the given dimensions only."""
+    return DerivedStar(spark, reader(spark, sf_dir), dense)
 
 
 def _tally(df: DataFrame, *columns) -> DataFrame:
@@ -45,7 +60,7 @@ def _tally(df: DataFrame, *columns) -> DataFrame:
 def _ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staging written as three numbered groups of CSV files, read back by the ingest."""
     folder = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
-    rows = staging(spark, sf_dir).withColumn("file", F.col("sale_seller_id") % 3)
+    rows = read(spark, sf_dir).withColumn("file", F.col("sale_seller_id") % 3)
     writer = rows.write.partitionBy("file").option("header", True)
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
     return ingest_csv(spark, folder, pattern="file=*", number="file=([0-9]+)")
@@ -54,7 +69,7 @@ def _ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _ingest_id_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.col("sale_seller_id") % 4
     name = F.when(number == 0, "MOCK_DATA.csv").otherwise(F.concat(F.lit("MOCK_DATA ("), number, F.lit(").csv")))
-    rows = staging(spark, sf_dir, ("id", "sale_customer_id", "sale_seller_id", "sale_product_id"))
+    rows = read(spark, sf_dir, "id", "sale_customer_id", "sale_seller_id", "sale_product_id")
     return offset_ids(rows.withColumn("_file", name)).drop("_file")
 
 
@@ -62,17 +77,17 @@ def _ingest_id_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _clean_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = staging(spark, sf_dir, ("customer_country", "product_brand"))
+    rows = read(spark, sf_dir, "customer_country", "product_brand")
     return _tally(rows, "customer_country", clean("customer_country").alias("country"), clean("product_brand").alias("brand"))
 
 
 def _clean_email(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = staging(spark, sf_dir, ("customer_email",))
+    rows = read(spark, sf_dir, "customer_email")
     return _tally(rows, "customer_email", email("customer_email").alias("email"))
 
 
 def _clean_blank_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = staging(spark, sf_dir, ("product_color", "product_size"))
+    rows = read(spark, sf_dir, "product_color", "product_size")
     return _tally(
         rows, "product_color", "product_size", blank_to_null("product_color").alias("color"),
         blank_to_null("product_size").alias("size"),
@@ -80,7 +95,7 @@ def _clean_blank_to_null(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _clean_default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = staging(spark, sf_dir, ("store_city", "store_country"))
+    rows = read(spark, sf_dir, "store_city", "store_country")
     return _tally(
         rows, "store_city", "store_country", or_unknown("store_city").alias("city"),
         or_unknown("store_country").alias("country"),
@@ -94,18 +109,18 @@ BLANKABLE = (
 
 
 def _clean_not_blank(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = staging(spark, sf_dir, BLANKABLE)
+    rows = read(spark, sf_dir, *BLANKABLE)
     return rows.agg(*[F.count_if(not_blank(c)).alias(c) for c in BLANKABLE], F.count("*").alias("row_count"))
 
 
 def _fact_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = staging(spark, sf_dir, ("sale_date", "sale_quantity", "sale_total_price"))
+    rows = read(spark, sf_dir, "sale_date", "sale_quantity", "sale_total_price")
     rows = rows.groupBy(complete_sale().alias("complete"))
     return rows.agg(F.count("*").alias("row_count"), F.sum("sale_quantity").alias("quantity"))
 
 
 def _parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = staging(spark, sf_dir, ("sale_date", "product_release_date", "product_expiry_date"))
+    rows = read(spark, sf_dir, "sale_date", "product_release_date", "product_expiry_date")
     return _tally(
         rows, parse_date("sale_date").alias("sale_day"), parse_date("product_release_date").alias("release_day"),
         parse_date("product_expiry_date").alias("expiry_day"),
@@ -113,12 +128,12 @@ def _parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _date_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    days = _tally(staging(spark, sf_dir, ("sale_date",)), parse_date("sale_date").alias("sale_day"))
+    days = _tally(read(spark, sf_dir, "sale_date"), parse_date("sale_date").alias("sale_day"))
     return days.select("sale_day", date_key(F.col("sale_day")).alias("date_key"), *calendar_parts("sale_day"), "row_count")
 
 
 def _concat_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = staging(spark, sf_dir, ("seller_first_name", "seller_last_name"))
+    rows = read(spark, sf_dir, "seller_first_name", "seller_last_name")
     return _tally(
         rows, "seller_first_name", "seller_last_name", full_name("seller_first_name", "seller_last_name").alias("full_name")
     )
@@ -136,14 +151,14 @@ def _dedup_first_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dedup_first_nonnull(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = staging(spark, sf_dir, ("id", "customer_pet_breed", "customer_pet_type")).where(not_blank("customer_pet_breed"))
+    rows = read(spark, sf_dir, "id", "customer_pet_breed", "customer_pet_type").where(not_blank("customer_pet_breed"))
     rows = rows.select("id", clean("customer_pet_breed").alias("breed_name"), clean("customer_pet_type").alias("pet_type"))
     return first_non_null(rows, ["breed_name"], "pet_type", "id")
 
 
 def _dedup_insert_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers first seen from 2014 on, next to those already known before."""
-    rows = staging(spark, sf_dir, ("id", "sale_customer_id", "customer_email", "sale_date")).where(not_blank("customer_email"))
+    rows = read(spark, sf_dir, "id", "sale_customer_id", "customer_email", "sale_date").where(not_blank("customer_email"))
     rows = rows.select(
         "id", F.col("sale_customer_id").alias("customer_id"), email("customer_email").alias("email"),
         parse_date("sale_date").alias("day"),
@@ -156,24 +171,23 @@ def _dedup_insert_new(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _join_left_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = staging(spark, sf_dir, ("customer_pet_name", "customer_pet_breed")).where(not_blank("customer_pet_name"))
+    rows = read(spark, sf_dir, "customer_pet_name", "customer_pet_breed").where(not_blank("customer_pet_name"))
     rows = rows.select(clean("customer_pet_name").alias("pet_name"), clean("customer_pet_breed").alias("pet_breed"))
-    breeds = derived(spark, sf_dir).table("dimension_pet_breeds", "breed_key", "breed_name")
+    breeds = derived(spark, sf_dir, "dimension_pet_breeds").table("dimension_pet_breeds", "breed_key", "breed_name")
     return lookup(_tally(rows, "pet_name", "pet_breed"), breeds, {"pet_breed": "breed_name"}, ["breed_key"], "left")
 
 
 def _join_left_prededup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derived(spark, sf_dir).table("dimension_customers", "email", "pet_key")
+    return derived(spark, sf_dir, "dimension_pets").table("dimension_customers", "email", "pet_key")
 
 
 def _join_left_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derived(spark, sf_dir).table("dimension_stores", "store_name", "location_key")
+    return derived(spark, sf_dir, "dimension_store_locations").table("dimension_stores", "store_name", "location_key")
 
 
 def _join_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = derived(spark, sf_dir)
-    products = star.table("dimension_products", "product_key", "product_name", "color", "size", "price")
-    rows = star.totals("product_key").join(products, "product_key")
+    star = derived(spark, sf_dir, "dimension_products")
+    rows = star.sold("product_key", "product_name", "color", "size", "price")
     return rows.select("product_key", "product_name", "color", "size", "price", "sales")
 
 
@@ -205,11 +219,9 @@ def _join_left_keep_unsold(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = staging(
-        spark, sf_dir, (
-            "customer_email", "customer_country", "seller_email", "product_name", "product_price", "store_name",
-            "sale_date", "sale_quantity", "sale_total_price",
-        ),
+    rows = read(
+        spark, sf_dir, "customer_email", "customer_country", "seller_email", "product_name", "product_price", "store_name",
+        "sale_date", "sale_quantity", "sale_total_price",
     )
     return rows.where(complete_sale() & known_parties())
 
@@ -238,7 +250,7 @@ def _agg_mixed_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _surrogate_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Dense keys over nullable composite natural keys, blank and NULL kept apart."""
-    rows = staging(spark, sf_dir, ("product_name", "product_color", "product_size", "product_price"))
+    rows = read(spark, sf_dir, "product_name", "product_color", "product_size", "product_price")
     distinct = rows.where(not_blank("product_name")).distinct()
     return number_rows(distinct, ["product_name", "product_color", "product_size", "product_price"], "row_key")
 
@@ -251,16 +263,19 @@ def _dim_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days.select(*STAR["dimension_dates"].names, F.coalesce("sales", F.lit(0)).alias("sales_count"))
 
 
-def _on_star(plan: Callable) -> Query:
-    return lambda spark, sf_dir: plan(derived(spark, sf_dir))
+def _on_star(plan: Callable, *dense: str) -> Query:
+    return lambda spark, sf_dir: plan(derived(spark, sf_dir, *dense))
 
 
 def _dimension(name: str) -> Query:
-    return lambda spark, sf_dir: derived(spark, sf_dir).table(name)
+    """A whole star table, with numbers in all the keys it holds."""
+    keys = {primary_key(d): d for d in KEY_ORDER}
+    dense = [keys[c] for c in STAR[name].names if c in keys]
+    return lambda spark, sf_dir: derived(spark, sf_dir, *dense).table(name)
 
 
 def _preview(mart: str) -> Query:
-    return lambda spark, sf_dir: preview(derived(spark, sf_dir), mart)
+    return _on_star(lambda star: preview(star, mart), *SHOWN_KEYS.get(mart, ()))
 
 
 QUERIES: dict[str, Query] = {
@@ -291,7 +306,7 @@ QUERIES: dict[str, Query] = {
     **{f"dim_{name.removeprefix('dimension_')}": _dimension(name) for name in KEY_ORDER},
     "dim_dates": _dim_dates,
     "fact_sales": _dimension("fact_sales"),
-    **{name: _on_star(plan) for name, plan in {**MART_PLANS, **BREAKDOWNS, **ADHOC}.items()},
+    **{n: _on_star(plan, *SHOWN_KEYS.get(n, ())) for n, plan in {**MART_PLANS, **BREAKDOWNS, **ADHOC}.items()},
     **{f"preview_{name.removeprefix('report_')}": _preview(name) for name in MART_PLANS},
     "best_selling_rows": _on_star(best_selling_rows),
     "table_counts": lambda spark, sf_dir: audits.counts(derived(spark, sf_dir), reader(spark, sf_dir)),

@@ -16,6 +16,9 @@ per key is then settled by the remaining columns.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 
 from retailmart.schemas import STAGING
@@ -125,15 +128,22 @@ def _spread(lines: DataFrame) -> DataFrame:
     return lines.repartition(cores, "l_orderkey") if lines.rdd.getNumPartitions() < cores else lines
 
 
-def staging(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] = ()) -> DataFrame:
-    """Staging with the given columns (all when none is given), joining only the tables they need."""
-    names = columns or tuple(STAGING.names)
-    text = " ".join(EXPRESSIONS[n] for n in names)
+def trial_tables(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFrame]:
+    """The trial tables by name, each looked up on disk once."""
 
+    @cache
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return _spread(rows) if name == "lineitem" else rows
+
+    return table
 
-    rows = _spread(table("lineitem"))
+
+def staging(table: Callable[[str], DataFrame], columns: tuple[str, ...] = ()) -> DataFrame:
+    """Staging with the given columns (all when none is given), joining only the tables they need."""
+    names = columns or tuple(STAGING.names)
+    text = " ".join(EXPRESSIONS[n] for n in names)
+    rows = table("lineitem")
     if "c_" in text or "cn_" in text or "o_" in text:
         orders = table("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         if "c_" in text or "cn_" in text:
