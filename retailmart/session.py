@@ -13,6 +13,8 @@ def local_session(cpus: int = 8, app: str = "retailmart", memory: str = "8g") ->
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")
+        # Many small reports per session: keep more than the default 100 compiled stages.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
