@@ -11,8 +11,9 @@ from retailmart.functions.dates import parse_date
 from retailmart.functions.text import not_blank
 from retailmart.operators.quality import duplicates, null_counts, orphans, too_long
 from retailmart.operators.ranking import table_counts
+from retailmart.plans.marts import MART_PLANS
 from retailmart.plans.star import StagingReader, Star, primary_key
-from retailmart.schemas import REFERENCES, REQUIRED, STAR, TEXT_LENGTHS, UNIQUE
+from retailmart.schemas import MART_WISHES, REFERENCES, REQUIRED, STAR, TEXT_LENGTHS, UNIQUE
 
 
 def _named(df: DataFrame, **labels: str) -> DataFrame:
@@ -67,6 +68,16 @@ def counts(star: Star, read: StagingReader) -> DataFrame:
     return table_counts({"staging": read("id"), **keyless})
 
 
+def mart_counts(star: Star) -> DataFrame:
+    """Rows of every mart."""
+    return table_counts({name: plan(star) for name, plan in MART_PLANS.items()})
+
+
+def mart_gaps(star: Star) -> DataFrame:
+    """``table_name, column_name, checked, nulls`` of mart columns that should be filled and need not be."""
+    return _all([_named(null_counts(MART_PLANS[m](star), c), table_name=m) for m, c in MART_WISHES.items()])
+
+
 # Reasons why a staging row gives no sale, in the order they are charged.
 def _reasons() -> dict:
     return {

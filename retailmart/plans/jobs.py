@@ -14,6 +14,7 @@ from retailmart.plans.marts import MART_PLANS
 from retailmart.plans.star import DerivedStar, StagingReader, StoredStar
 from retailmart.schemas import MART_ORDER, MARTS, STAGING, STAR
 from retailmart.sources.csv_files import ingest_csv, require_rows
+from retailmart.sources.jdbc import Database
 from retailmart.sources.store import Store
 
 # Parents before children, the fact last. Tables of one wave do not need each other,
@@ -103,6 +104,30 @@ def read_mart(spark: SparkSession, target: str, name: str) -> DataFrame:
     return store.read(store.latest(), name, MARTS[name])
 
 
+def database_staging(spark: SparkSession, database: Database, table: str) -> StagingReader:
+    """Reader of staging kept in a database, split by ``id``; selected columns are all it fetches."""
+    rows = enforce(database.scan(spark, table, "id"), STAGING)
+    return lambda *columns: rows.select(*columns)
+
+
+def database_star(spark: SparkSession, database: Database) -> StoredStar:
+    """A star kept in a database, each table split by its primary key."""
+    return StoredStar({n: enforce(database.scan(spark, n, s.fields[0].name), s) for n, s in STAR.items()})
+
+
+def export_star(spark: SparkSession, target: str, database: Database) -> None:
+    """Replace the rows of all star tables of a database by those of the latest star, parents first."""
+    star = read_star(spark, target)
+    for name in (n for wave in WAVES for n in wave):
+        database.refresh(star.table(name), name, cascade=True)
+
+
+def export_marts(spark: SparkSession, target: str, database: Database) -> None:
+    """Replace the rows of all mart tables of a database by those of the latest marts."""
+    for name in MARTS:
+        database.refresh(read_mart(spark, target, name), name)
+
+
 def run(spark: SparkSession, read: StagingReader, target: str, job: str = "both") -> dict[str, int]:
     """``transform`` builds the star, ``reports`` the marts, ``both`` one after the other."""
     if job not in ("transform", "reports", "both"):

@@ -151,6 +151,13 @@ MART_ORDER = {
     "report_product_quality": ("product_name",),
 }
 
+# fixed values: mart columns meant to be filled whose source in the star may be NULL
+MART_WISHES = {
+    "report_customers_sales": ("first_name", "last_name", "country"),
+    "report_suppliers_sales": ("supplier_name", "country"),
+    "report_product_quality": ("avg_rating",),
+}
+
 # fixed values: declared text lengths of the star tables
 TEXT_LENGTHS = {
     "dimension_pet_breeds": {"breed_name": 100, "pet_type": 50},

@@ -53,6 +53,11 @@ class Database:
         """Insert from the executors; columns the table fills itself are left out of ``df``."""
         df.write.format("jdbc").options(**self.write_options(table)).mode("append").save()
 
-    def refresh(self, df: DataFrame, table: str) -> None:
-        """Empty the table, keep its definition, and insert from the executors."""
-        df.write.format("jdbc").options(**self.write_options(table)).option("truncate", True).mode("overwrite").save()
+    def refresh(self, df: DataFrame, table: str, cascade: bool = False) -> None:
+        """Empty the table, keep its definition, and insert from the executors.
+
+        ``cascade`` also empties the tables that refer to it, where the database knows how:
+        for refreshes that go on to refill those tables.
+        """
+        writer = df.write.format("jdbc").options(**self.write_options(table))
+        writer.option("truncate", True).option("cascadeTruncate", cascade).mode("overwrite").save()

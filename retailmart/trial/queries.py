@@ -278,6 +278,8 @@ def _preview(mart: str) -> Query:
     return _on_star(lambda star: preview(star, mart), *SHOWN_KEYS.get(mart, ()))
 
 
+MART_KEYS = [dimension for mart in MART_PLANS for dimension in SHOWN_KEYS.get(mart, ())]
+
 QUERIES: dict[str, Query] = {
     "ingest_csv": _ingest_csv,
     "ingest_id_offset": _ingest_id_offset,
@@ -310,6 +312,8 @@ QUERIES: dict[str, Query] = {
     **{f"preview_{name.removeprefix('report_')}": _preview(name) for name in MART_PLANS},
     "best_selling_rows": _on_star(best_selling_rows),
     "table_counts": lambda spark, sf_dir: audits.counts(derived(spark, sf_dir), reader(spark, sf_dir)),
+    "mart_counts": _on_star(audits.mart_counts, *MART_KEYS),
+    "dq_mart_nulls": _on_star(audits.mart_gaps, *MART_KEYS),
     "dq_unique": _on_star(audits.unique_keys),
     "dq_fk": _on_star(audits.references),
     "dq_not_null": _on_star(audits.required_columns),

@@ -4,7 +4,19 @@ from pyspark.sql import functions as F
 
 from retailmart.plans import audits
 from retailmart.plans.adhoc import ADHOC
-from retailmart.plans.jobs import WAVES, build_marts, build_star, ingest, read_mart, read_star, run
+from retailmart.plans.jobs import (
+    WAVES,
+    build_marts,
+    build_star,
+    database_staging,
+    database_star,
+    export_marts,
+    export_star,
+    ingest,
+    read_mart,
+    read_star,
+    run,
+)
 from retailmart.plans.marts import BREAKDOWNS, MART_PLANS, SHOWN_KEYS
 from retailmart.schemas import MARTS, STAGING, STAR
 from retailmart.sources.jdbc import Database
@@ -103,3 +115,29 @@ def test_database_options():
     split = base.scan_options("t", "id", 1, 9)
     assert (split["partitionColumn"], split["lowerBound"], split["upperBound"], split["numPartitions"]) == ("id", "1", "9", "4")
     assert base.write_options("t")["batchsize"] == "500"
+
+
+class Folder(Database):
+    """Stands in for a database: keeps its tables in memory."""
+
+    def __init__(self):
+        super().__init__("none")
+        object.__setattr__(self, "tables", {})
+
+    def scan(self, spark, table, column=None):
+        assert column in self.tables[table].columns
+        return self.tables[table]
+
+    def refresh(self, df, table, cascade=False):
+        self.tables[table] = df
+
+
+def test_star_and_marts_by_way_of_a_database(spark, built):
+    database = Folder()
+    export_star(spark, built[0], database)
+    export_marts(spark, built[0], database)
+    assert set(database.tables) == {*STAR, *MARTS}
+    name = "report_stores_sales"
+    assert rows_of(MART_PLANS[name](database_star(spark, database))) == rows_of(database.tables[name])
+    database.refresh(reader(spark, SMALL)(), "staging")
+    assert database_staging(spark, database, "staging")("id", "store_name").count() == 6000
