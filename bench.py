@@ -46,7 +46,7 @@ def main() -> None:
         return round(min(seconds(action) for _ in range(runs)), 3)
 
     times = {}
-    times["write_staging"] = round(seconds(lambda: reader(spark, sf_dir)().write.parquet(f"{target}/staging")), 3)
+    times["write_staging"] = best(lambda: reader(spark, sf_dir)().write.mode("overwrite").parquet(f"{target}/staging"))
     read = stored_staging(spark, f"{target}/staging")
     times["build_star"] = best(lambda: build_star(spark, read, target))
     times["build_marts"] = best(lambda: build_marts(spark, target))

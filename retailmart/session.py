@@ -15,8 +15,6 @@ def local_session(cpus: int = 8, app: str = "retailmart", memory: str = "8g") ->
         .config("spark.sql.session.timeZone", "UTC")
         # Many small reports per session: keep more than the default 100 compiled stages.
         .config("spark.sql.codegen.cache.maxEntries", "2000")
-        # A fused method beyond 8000 bytes is never compiled by the JVM: run such wide stages unfused.
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
