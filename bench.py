@@ -37,7 +37,7 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = local_session(cpus, app="bench")
     spark.sparkContext.setLogLevel("ERROR")
     target = tempfile.mkdtemp(prefix="retailmart-bench-")
