@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailmart.llm import mixing, pii, quality, simhash
+from retailmart.llm import minhash, mixing, pii, quality, simhash
 from retailmart.llm.follow import followed
 from retailmart.llm.text import filled
 from retailmart.sources.scratch import written
@@ -59,6 +59,12 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs).select("doc_id", *quality.MEASURES, "left_words", "kept")
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of near-duplicates by two-word shingles."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return minhash.near_duplicates(docs, shingle=2)
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words that a mix of all sources takes of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
@@ -70,6 +76,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_pii": op3_pii,
     "op5_quality": op5_quality,
+    "op7_minhash": op7_minhash,
     "op10_mixing": op10_mixing,
 }
 ORACLE: dict[str, str] = {}
