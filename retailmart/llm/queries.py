@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailmart.llm import chat, licenses, minhash, mixing, pii, quality, simhash, warc
+from retailmart.llm import chat, langid, licenses, minhash, mixing, pii, quality, segment, simhash, warc
 from retailmart.llm.follow import followed
 from retailmart.llm.text import filled
 from retailmart.sources.scratch import shared_folder, written
@@ -15,6 +15,15 @@ from retailmart.sources.scratch import shared_folder, written
 KEY = "demonstration key"  # a real run passes its own secret
 
 
+TOKENIZERS = "/opt/tokenizers"
+
+
+def vocabulary_file(folder: str = TOKENIZERS) -> bytes:
+    """The piece vocabulary, half a megabyte; it travels to the tasks with their function."""
+    with open(f"{folder}/piece_bpe_32k.model", "rb") as file:
+        return file.read()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -75,12 +84,27 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs).select("doc_id", *quality.MEASURES, "left_words", "kept")
 
 
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learnt from those that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    model = langid.train(docs.where(~held_out), "doc_id", "text", "lang")
+    return langid.identify(docs, model).withColumn("held_out", held_out)
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of near-duplicates by two-word shingles."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return minhash.near_duplicates(docs, shingle=2)
 
 
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The four best segmentations of every document: the best whole, the others as edits of it."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = segment.encode(docs, vocabulary_file())
+    return found.select("doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "score", "ids", "others")
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC files and read back."""
     folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
@@ -102,7 +126,9 @@ QUERIES = {
     "op3_pii": op3_pii,
     "op4_licenses": op4_licenses,
     "op5_quality": op5_quality,
+    "op6_language": op6_language,
     "op7_minhash": op7_minhash,
+    "op8_pieces": op8_pieces,
     "op9_warc": op9_warc,
     "op10_mixing": op10_mixing,
 }
