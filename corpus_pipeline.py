@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from retailmart.llm import mixing, pii, quality
-from retailmart.llm.queries import KEY
+from retailmart.llm import minhash, mixing, pii, quality, segment
+from retailmart.llm.queries import KEY, vocabulary_file
 from retailmart.sources.scratch import shared_folder
 
 DOCUMENTS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -25,6 +25,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _documents(judged.withColumn("text", F.col("left_text")))
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates (five words, 0.8): the one with the smallest id.
+
+    Of rows that repeat an id, those stay that repeat the row itself.
+    """
+    kept = minhash.near_duplicates(docs.select(*DOCUMENTS)).where("kept").select(F.col("doc_id").alias("__id")).distinct()
+    return _documents(docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi"))
+
+
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pseudonyms in every text."""
     return _documents(pii.pseudonymize(docs.select(*DOCUMENTS), KEY))
@@ -36,10 +45,18 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _documents(mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))))
 
 
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The best segmentation of every row and how far the next ones are behind."""
+    found = segment.encode(docs.select(*DOCUMENTS), vocabulary_file())
+    return found.select("doc_id", "lang", "source", "n_chars", F.size("ids").cast("bigint").alias("n_pieces"), "score", "ids", "others")
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
     ("personal_data", personal_data),
     ("source_mix", source_mix),
+    ("pieces", pieces),
 ]
 
 
