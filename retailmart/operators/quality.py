@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,12 @@ def too_long(df: DataFrame, limits: Mapping[str, int]) -> DataFrame:
     return _labelled(df, values, ("max_length", "too_long"))
 
 
+def too_large(df: DataFrame, limits: Mapping[str, Decimal]) -> DataFrame:
+    """``column_name, checked, too_large``: filled amounts, and those not below their limit."""
+    values = {c: (F.count(c), F.count_if(F.abs(c) >= F.lit(limit))) for c, limit in limits.items()}
+    return _labelled(df, values, ("checked", "too_large"))
+
+
 def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row: number of keys, and of keys held by more than one row."""
     return df.groupBy(*keys).count().agg(
@@ -44,7 +51,8 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, key: str) -> DataF
     References are counted per value first, so a hot value shuffles as one row per task.
     """
     references = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_ref")).agg(F.count("*").alias("_rows"))
-    found = parent.select(F.col(key).alias("_ref"), F.lit(True).alias("_found"))
+    # A repeated parent must not count a reference twice.
+    found = parent.select(F.col(key).alias("_ref")).distinct().withColumn("_found", F.lit(True))
     return references.join(found, "_ref", "left").agg(
         F.coalesce(F.sum("_rows"), F.lit(0)).alias("checked"),
         F.coalesce(F.sum(F.when(F.col("_found").isNull(), F.col("_rows"))), F.lit(0)).alias("orphans"),

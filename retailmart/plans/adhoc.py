@@ -107,10 +107,12 @@ def q_by_breed(star: Star) -> DataFrame:
 
 def q_age_by_category(star: Star) -> DataFrame:
     """The age is averaged over sales, so a customer counts once per purchase."""
+    # Products get their category's name first: one row per product, so no sale is dealt out by category.
     products = star.table("dimension_products", "product_key", "category_key")
     categories = star.table("dimension_product_categories", "category_key", "category_name")
+    named = products.join(categories, "category_key").select("product_key", "category_name")
     customers = star.table("dimension_customers", "customer_key", "age")
-    rows = star.totals("customer_key", "product_key").join(products, "product_key").join(categories, "category_key")
+    rows = star.totals("customer_key", "product_key").join(named, "product_key")
     # One row per customer and category from here on.
     rows = rows.groupBy("category_name", "customer_key").agg(F.sum("sales").alias("sales"), F.sum("revenue").alias("revenue"))
     aged = F.when(F.col("age").isNotNull(), F.col("sales"))

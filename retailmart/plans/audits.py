@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from retailmart.functions.dates import parse_date
+from retailmart.functions.dates import CALENDAR_FIRST_DAY, CALENDAR_LAST_DAY, parse_date
 from retailmart.functions.text import not_blank
-from retailmart.operators.quality import duplicates, null_counts, orphans, too_long
+from retailmart.operators.quality import duplicates, null_counts, orphans, too_large, too_long
 from retailmart.operators.ranking import table_counts
 from retailmart.plans.marts import MART_PLANS
 from retailmart.plans.star import StagingReader, Star, primary_key
-from retailmart.schemas import MART_WISHES, REFERENCES, REQUIRED, STAR, TEXT_LENGTHS, UNIQUE
+from retailmart.schemas import MART_WISHES, PRECISIONS, REFERENCES, REQUIRED, STAR, TEXT_LENGTHS, UNIQUE
 
 
 def _named(df: DataFrame, **labels: str) -> DataFrame:
@@ -39,7 +40,7 @@ def references(star: Star) -> DataFrame:
         key = primary_key(parent)
         if child == "fact_sales":
             rows = star.totals(column).where(F.col(column).isNotNull()).select(column, "sales")
-            found = star.table(parent, key).withColumn("_found", F.lit(True))
+            found = star.table(parent, key).distinct().withColumn("_found", F.lit(True))
             counted = rows.join(found, key, "left").agg(
                 F.coalesce(F.sum("sales"), F.lit(0)).alias("checked"),
                 F.coalesce(F.sum(F.when(F.col("_found").isNull(), F.col("sales"))), F.lit(0)).alias("orphans"),
@@ -60,6 +61,15 @@ def text_lengths(star: Star) -> DataFrame:
     return _all([_named(too_long(star.table(t, *c), c), table_name=t) for t, c in TEXT_LENGTHS.items()])
 
 
+def overflows(star: Star) -> DataFrame:
+    """``table_name, column_name, checked, too_large``: amounts that the declared precision cannot hold."""
+    parts = []
+    for table, columns in PRECISIONS.items():
+        limits = {c: Decimal(10) ** (precision - scale) for c, (precision, scale) in columns.items()}
+        parts.append(_named(too_large(star.table(table, *columns), limits), table_name=table))
+    return _all(parts)
+
+
 def counts(star: Star, read: StagingReader) -> DataFrame:
     """Rows of staging and of every star table."""
     keyless = {t: star.table(t, *[c for c in s.names if not c.endswith("_key")]) for t, s in STAR.items()}
@@ -96,8 +106,9 @@ def reconcile(read: StagingReader) -> DataFrame:
     """``reason, having, charged``: staging rows kept and dropped, in one scan.
 
     A dropped row has every reason that applies and is charged to the first, so
-    the charged rows add up to staging. ``kept, date unreadable`` are sales that
-    appear in every report but those over time.
+    the charged rows add up to staging. ``kept, not in the calendar`` are sales that
+    appear in every report but those over time: their date cannot be read, or
+    the calendar does not have it.
     """
     reasons = _reasons()
     rows = read(
@@ -105,12 +116,12 @@ def reconcile(read: StagingReader) -> DataFrame:
         "product_price", "store_name",
     )
     first = F.coalesce(*[F.when(c, F.lit(n)) for n, c in reasons.items()], F.lit("kept"))
-    readable = parse_date("sale_date").isNotNull()
+    readable = F.coalesce(parse_date("sale_date").between(F.lit(CALENDAR_FIRST_DAY).cast("date"), F.lit(CALENDAR_LAST_DAY).cast("date")), F.lit(False))
     rows = rows.select(first.alias("_first"), readable.alias("_readable"), *[c.alias(n) for n, c in reasons.items()])
     kept = F.col("_first") == "kept"
     counted = {n: (F.count_if(F.col(n)), F.count_if(F.col("_first") == n)) for n in reasons}
     counted["kept"] = (F.count_if(kept), F.count_if(kept & F.col("_readable")))
-    counted["kept, date unreadable"] = (F.count_if(kept & ~F.col("_readable")), F.count_if(kept & ~F.col("_readable")))
+    counted["kept, not in the calendar"] = (F.count_if(kept & ~F.col("_readable")), F.count_if(kept & ~F.col("_readable")))
     lines = [
         F.struct(F.lit(n).alias("reason"), having.alias("having"), charged.alias("charged"))
         for n, (having, charged) in counted.items()
@@ -119,20 +130,25 @@ def reconcile(read: StagingReader) -> DataFrame:
 
 
 def lost_in_reports(star: Star) -> DataFrame:
-    """``report, sales, lost``: sales an inner join through an empty parent key leaves out."""
+    """``report, sales, lost``: sales that a report leaves out, as they find no parent.
+
+    The parent key may be empty, or the parent missing: the calendar does not have
+    every date that a sale can have.
+    """
     cases = [
-        ("report_products_sales", star.sold("product_key", "category_key"), "category_key"),
-        ("report_stores_sales", star.sold("store_key", "location_key"), "location_key"),
-        ("report_suppliers_sales", star.sold("product_key", "supplier_key"), "supplier_key"),
-        ("report_time_sales", star.totals("date_key"), "date_key"),
+        ("report_products_sales", star.sold("product_key", "category_key"), "category_key", "dimension_product_categories"),
+        ("report_stores_sales", star.sold("store_key", "location_key"), "location_key", "dimension_store_locations"),
+        ("report_suppliers_sales", star.sold("product_key", "supplier_key"), "supplier_key", "dimension_suppliers"),
+        ("report_time_sales", star.totals("date_key"), "date_key", "dimension_dates"),
     ]
-    return _all(
-        [
-            rows.agg(
-                F.lit(name).alias("report"),
-                F.sum("sales").alias("sales"),
-                F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("sales"))), F.lit(0)).alias("lost"),
-            )
-            for name, rows, key in cases
-        ]
-    )
+
+    def counted(name: str, rows: DataFrame, key: str, parent: str) -> DataFrame:
+        # one row per key before the join, so that a key with many products or stores weighs no more than another
+        rows = rows.groupBy(F.col(key).alias("_key")).agg(F.sum("sales").alias("sales"))
+        known = star.table(parent, key).select(F.col(key).alias("_key"), F.lit(True).alias("_found"))
+        lost = F.sum(F.when(F.col("_found").isNull(), F.col("sales")))
+        return rows.join(known, "_key", "left").agg(
+            F.lit(name).alias("report"), F.sum("sales").alias("sales"), F.coalesce(lost, F.lit(0)).alias("lost")
+        )
+
+    return _all([counted(*case) for case in cases])

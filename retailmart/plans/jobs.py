@@ -13,7 +13,7 @@ from retailmart.operators.contract import enforce
 from retailmart.plans.marts import MART_PLANS
 from retailmart.plans.star import DerivedStar, StagingReader, StoredStar
 from retailmart.schemas import MART_ORDER, MARTS, STAGING, STAR
-from retailmart.sources.csv_files import ingest_csv, require_rows
+from retailmart.sources.csv_files import FILE_NUMBER, FILE_PATTERN, ID_STRIDE, check_stride, ingest_csv, require_rows
 from retailmart.sources.jdbc import Database
 from retailmart.sources.store import Store
 
@@ -32,7 +32,7 @@ WAVES = (
     ("dimension_customers",),
     ("fact_sales",),
 )
-JOBS_AT_ONCE = 4
+JOBS_AT_ONCE = 2
 
 
 def stored_staging(spark: SparkSession, path: str) -> StagingReader:
@@ -45,10 +45,25 @@ def stored_staging(spark: SparkSession, path: str) -> StagingReader:
 
 
 def ingest(spark: SparkSession, folder: str, target: str, **options) -> StagingReader:
-    """CSV files to stored staging, once, so that no later step parses text again."""
+    """CSV files to stored staging, once, so that no later step parses text again.
+
+    Staging is published like star and marts: a build that still reads the last one goes on
+    undisturbed, and a failed ingest is never seen. Identifiers that collide between files are an error.
+    """
     rows = require_rows(ingest_csv(spark, folder, **options))
-    rows.write.mode("overwrite").parquet(f"{target}/staging")
-    return stored_staging(spark, f"{target}/staging")
+    store = Store(spark, target, "staging")
+    run = store.new_run()
+    store.write(rows, run, "rows")
+    check_stride(store.read(run, "rows", STAGING), options.get("stride", ID_STRIDE))
+    store.publish(run)
+    return latest_staging(spark, target)
+
+
+def latest_staging(spark: SparkSession, target: str) -> StagingReader:
+    """Reader of the last published staging."""
+    store = Store(spark, target, "staging")
+    rows = store.read(store.latest(), "rows", STAGING)
+    return lambda *columns: rows.select(*columns)
 
 
 def build_star(spark: SparkSession, read: StagingReader, target: str) -> dict[str, int]:
@@ -144,13 +159,19 @@ def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="python -m retailmart.plans.jobs", description=__doc__)
     parser.add_argument("--csv", help="folder of CSV files to ingest first")
     parser.add_argument("--target", required=True, help="folder for staging, star and marts")
+    parser.add_argument("--pattern", default=FILE_PATTERN, help="names of the CSV files")
+    parser.add_argument("--number", default=FILE_NUMBER, help="regular expression for the number in a file's name")
+    parser.add_argument("--stride", type=int, default=ID_STRIDE, help="what a file's number shifts identifiers by; at least the rows of a file")
+    parser.add_argument("--mixed-headers", action="store_true", help="files may lack columns or order them differently")
+    parser.add_argument("--multi-line", action="store_true", help="quoted cells may hold line breaks")
     parser.add_argument("--job", choices=("transform", "reports", "both"), default="both")
     options = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("retailmart").getOrCreate()
     if options.csv:
-        ingest(spark, options.csv, options.target)
-    read = stored_staging(spark, f"{options.target}/staging")
+        names = ("pattern", "number", "stride", "mixed_headers", "multi_line")
+        ingest(spark, options.csv, options.target, **{n: getattr(options, n) for n in names})
+    read = latest_staging(spark, options.target)
     for name, rows in run(spark, read, options.target, options.job).items():
         print(f"{name}: {rows} rows")
 

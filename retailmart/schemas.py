@@ -178,6 +178,13 @@ TEXT_LENGTHS = {
     "dimension_products": {
         "product_name": 200, "color": 50, "size": 50, "brand": 100, "material": 100,
     },
+    "dimension_dates": {"day_name": 20, "month_name": 20},
+}
+
+# fixed values: declared precision and scale of the star's amounts
+PRECISIONS = {
+    "dimension_products": {"price": (10, 2), "weight": (10, 2), "rating": (3, 1)},
+    "fact_sales": {"unit_price": (10, 2), "total_price": (10, 2)},
 }
 
 # fixed values: columns that must be filled, and natural keys that must be unique

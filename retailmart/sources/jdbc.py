@@ -13,7 +13,7 @@ class Database:
     """Where a database is, and how hard to load it."""
 
     url: str
-    properties: Mapping[str, str] = field(default_factory=dict)
+    properties: Mapping[str, str] = field(default_factory=dict, repr=False)  # holds the password
     connections: int = 8
     rows_per_batch: int = 10_000
 

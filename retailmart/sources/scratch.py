@@ -6,28 +6,24 @@ planner its real size, so later joins are planned from facts.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only for a local, unset session."""
+    """The folder named by ``spark.checkpoint.dir``; where that is unset, one in the warehouse, which is shared too."""
     context = spark.sparkContext
     configured = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="retailmart-"))
-    return context.getCheckpointDir()
+    folder = configured or context.getCheckpointDir()
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/intermediate"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once and return the written table."""
+    """Write ``df`` once and return the written table; it is removed when the application ends."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(location)
     return spark.read.schema(df.schema).parquet(path)

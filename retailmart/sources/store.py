@@ -2,7 +2,8 @@
 
 A run writes every table to its own folder and is published by one appended row
 in ``runs``. Readers take the latest published run, so a failed or unfinished
-run is never seen and a refresh needs no truncation.
+run is never seen and a refresh needs no truncation. Publishing removes the runs
+before the last ``keep``, so refreshes do not fill the store.
 """
 
 from __future__ import annotations
@@ -18,9 +19,10 @@ from pyspark.sql.types import StructType
 class Store:
     """Tables under ``root``, by kind (``star`` or ``marts``) and run."""
 
-    def __init__(self, spark: SparkSession, root: str, kind: str):
+    def __init__(self, spark: SparkSession, root: str, kind: str, keep: int = 2):
         self._spark = spark
         self._base = f"{root}/{kind}"
+        self._keep = keep
 
     def new_run(self) -> str:
         """A run name; later runs sort after earlier ones."""
@@ -40,6 +42,18 @@ class Store:
 
     def publish(self, run: str) -> None:
         self._spark.createDataFrame([(run,)], "run string").coalesce(1).write.mode("append").parquet(f"{self._base}/runs")
+        self._forget()
+
+    def _forget(self) -> None:
+        """Remove published runs but the last ones, and unpublished ones that are older than those."""
+        published = self._spark.read.schema("run string").parquet(f"{self._base}/runs")
+        kept = [r.run for r in published.distinct().orderBy(F.desc("run")).limit(self._keep).collect()]
+        base = self._spark._jvm.org.apache.hadoop.fs.Path(self._base)
+        files = base.getFileSystem(self._spark._jsc.hadoopConfiguration())
+        for entry in files.listStatus(base):
+            name = entry.getPath().getName()
+            if name != "runs" and len(kept) >= self._keep and name < min(kept):
+                files.delete(entry.getPath(), True)
 
     def latest(self) -> str:
         run = self._spark.read.schema("run string").parquet(f"{self._base}/runs").agg(F.max("run")).first()[0]

@@ -14,13 +14,16 @@ from retailmart.functions.text import blank_to_null, clean, email, full_name, no
 from retailmart.operators.dedup import first_non_null, insert_new
 from retailmart.operators.joins import lookup
 from retailmart.operators.keys import number_rows
+from retailmart.operators.ranking import table_counts
 from retailmart.plans import audits
 from retailmart.plans.adhoc import ADHOC
+from retailmart.plans.jobs import latest_staging, read_mart, read_star, run
 from retailmart.plans.marts import BREAKDOWNS, MART_PLANS, SHOWN_KEYS, best_selling_rows, preview
 from retailmart.plans.star import (
     KEY_ORDER,
     DerivedStar,
     StagingReader,
+    StoredStar,
     complete_sale,
     known_parties,
     primary_key,
@@ -30,6 +33,7 @@ from retailmart.plans.star import (
 from retailmart.schemas import STAR
 from retailmart.sources.csv_files import ingest_csv, offset_ids
 from retailmart.sources.scratch import shared_folder
+from retailmart.sources.store import Store
 from retailmart.trial.staging import staging, trial_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -193,13 +197,16 @@ def _join_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _join_star_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = derived(spark, sf_dir)
+    # Each dimension is joined to its parent first, so that sales never shuffle by a key of a few values.
+    products = star.table("dimension_products", "product_key", "category_key")
+    products = products.join(star.table("dimension_product_categories", "category_key", "category_name"), "category_key")
+    stores = star.table("dimension_stores", "store_key", "location_key")
+    stores = stores.join(star.table("dimension_store_locations", "location_key", "country"), "location_key")
     rows = (
         star.totals("date_key", "product_key", "store_key")
         .join(star.table("dimension_dates", "date_key", "year"), "date_key")
-        .join(star.table("dimension_products", "product_key", "category_key"), "product_key")
-        .join(star.table("dimension_product_categories", "category_key", "category_name"), "category_key")
-        .join(star.table("dimension_stores", "store_key", "location_key"), "store_key")
-        .join(star.table("dimension_store_locations", "location_key", "country"), "location_key")
+        .join(products.select("product_key", "category_name"), "product_key")
+        .join(stores.select("store_key", "country"), "store_key")
     )
     return rows.groupBy("year", "category_name", "country").agg(
         F.sum("sales").alias("sales_count"), F.sum("revenue").cast(MONEY_SUM).alias("total_revenue")
@@ -280,6 +287,69 @@ def _preview(mart: str) -> Query:
 
 MART_KEYS = [dimension for mart in MART_PLANS for dimension in SHOWN_KEYS.get(mart, ())]
 
+# --- the stored path --------------------------------------------------------
+
+
+_TARGETS: dict[tuple[str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str) -> str:
+    """Run both jobs once per application into a folder of their own; its name. Staging is stored first, as in production."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _TARGETS:
+        _TARGETS[key] = _run_jobs(spark, sf_dir)
+    return _TARGETS[key]
+
+
+def _run_jobs(spark: SparkSession, sf_dir: str) -> str:
+    target = f"{shared_folder(spark)}/target-{uuid.uuid4().hex}"
+    store = Store(spark, target, "staging")
+    number = store.new_run()
+    store.write(reader(spark, sf_dir)(), number, "rows")
+    store.publish(number)
+    run(spark, latest_staging(spark, target), target)
+    return target
+
+
+def _stored_mart(name: str) -> Query:
+    return lambda spark, sf_dir: read_mart(spark, stored(spark, sf_dir), name)
+
+
+def _stored_star(plan: Callable) -> Query:
+    return lambda spark, sf_dir: plan(read_star(spark, stored(spark, sf_dir)))
+
+
+def _table_sizes(star: StoredStar) -> DataFrame:
+    return table_counts({name: star.table(name) for name in STAR})
+
+
+def _sale_keys(star: StoredStar) -> DataFrame:
+    """Sales, distinct sale keys, and sales whose key is empty or not positive."""
+    key = F.col("sale_key")
+    return star.table("fact_sales", "sale_key").agg(
+        F.count("*").alias("sales"), F.count_distinct(key).alias("distinct_keys"), F.count_if(key.isNull() | (key < 1)).alias("bad_keys")
+    )
+
+
+def faulty(star: StoredStar) -> StoredStar:
+    """The star with faults: repeated sellers, orphaned and empty references, empty and overlong texts, too large amounts."""
+    tables = {name: star.table(name) for name in STAR}
+    sellers, stores, products, fact = (tables[n] for n in ("dimension_sellers", "dimension_stores", "dimension_products", "fact_sales"))
+    tables["dimension_sellers"] = sellers.union(sellers.where("seller_key % 3 = 0"))
+    tables["dimension_stores"] = stores.withColumn("phone", F.when(F.col("store_key") % 2 == 0, F.lpad("phone", 51, "0")).otherwise(F.col("phone")))
+    nameless = F.when(F.col("product_key") % 5 != 0, F.col("product_name"))
+    tables["dimension_products"] = products.withColumn("product_name", nameless).withColumn("supplier_key", F.col("supplier_key") + F.when(F.col("product_key") % 7 == 0, 1_000_000).otherwise(0))
+    dates = tables["dimension_dates"]
+    tables["dimension_dates"] = dates.withColumn("day_name", F.when(F.col("day") == 1, F.lpad("day_name", 21, " ")).otherwise(F.col("day_name")))
+    raised = F.when(F.col("quantity") % 10 == 0, F.lit("100000000").cast("decimal(18,2)")).otherwise(F.col("total_price").cast("decimal(18,2)"))
+    tables["fact_sales"] = fact.withColumn("total_price", raised).withColumn("store_key", F.when(F.col("quantity") % 10 == 1, -F.col("store_key")).otherwise(F.col("store_key")))
+    return StoredStar(tables)
+
+
+def _on_faulty(plan: Callable) -> Query:
+    return _stored_star(lambda star: plan(faulty(star)))
+
+
 QUERIES: dict[str, Query] = {
     "ingest_csv": _ingest_csv,
     "ingest_id_offset": _ingest_id_offset,
@@ -318,6 +388,15 @@ QUERIES: dict[str, Query] = {
     "dq_fk": _on_star(audits.references),
     "dq_not_null": _on_star(audits.required_columns),
     "dq_length": _on_star(audits.text_lengths),
+    "dq_overflow": _on_star(audits.overflows),
     "dq_reconcile": lambda spark, sf_dir: audits.reconcile(reader(spark, sf_dir)),
     "dq_lost_in_reports": _on_star(audits.lost_in_reports),
+    **{f"stored_{name.removeprefix('report_')}": _stored_mart(name) for name in MART_PLANS},
+    "stored_counts": _stored_star(_table_sizes),
+    "stored_sale_keys": _stored_star(_sale_keys),
+    "faulty_unique": _on_faulty(audits.unique_keys),
+    "faulty_fk": _on_faulty(audits.references),
+    "faulty_not_null": _on_faulty(audits.required_columns),
+    "faulty_length": _on_faulty(audits.text_lengths),
+    "faulty_overflow": _on_faulty(audits.overflows),
 }

@@ -76,9 +76,8 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.showConsoleProgress", "false")
-        # Tiny tables: most time goes into compiling plans.
-        .config("spark.sql.codegen.cache.maxEntries", "5000")
-        .config("spark.driver.extraJavaOptions", "-XX:TieredStopAtLevel=1")
+        # Tiny tables and hundreds of plans: room for the code, small stacks of deep plans aside.
+        .config("spark.driver.extraJavaOptions", "-XX:ReservedCodeCacheSize=512m -Xss8m")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )

@@ -67,7 +67,7 @@ def test_sums_agree_between_reports(spark, built):
     customers = by["report_customers_sales"].agg(F.sum("total_purchases"), F.sum("order_count")).first()
     assert tuple(customers) == (totals.revenue, totals.sales)
     lost = {r.report: r.lost for r in audits.lost_in_reports(read_star(spark, target)).collect()}
-    for name in ("report_products_sales", "report_stores_sales", "report_suppliers_sales"):
+    for name in ("report_products_sales", "report_stores_sales", "report_suppliers_sales", "report_time_sales"):
         assert by[name].agg(F.sum("sales_count")).first()[0] + lost[name] == totals.sales
     star = read_star(spark, target)
     days = by["report_time_sales"].agg(F.sum("daily_revenue"), F.sum("sales_count")).first()
@@ -88,6 +88,20 @@ def test_unpublished_run_is_not_seen(spark, built, tmp_path):
     assert store.latest() > seen
 
 
+def test_old_runs_go(spark, tmp_path):
+    store = Store(spark, str(tmp_path), "kind", keep=2)
+    runs = [store.new_run() for _ in range(4)]
+    for run_name in runs:
+        store.write(spark.range(2), run_name, "rows")
+        store.publish(run_name)
+    assert sorted(p.name for p in (tmp_path / "kind").iterdir()) == sorted([*runs[2:], "runs"])
+    assert store.latest() == runs[-1]
+
+
+def test_password_is_not_shown():
+    assert "secret" not in repr(Database("jdbc:x:y", {"password": "secret"}))
+
+
 def test_job_choice(spark, tmp_path):
     with pytest.raises(ValueError):
         run(spark, reader(spark, SMALL), str(tmp_path), "nothing")
