@@ -2,10 +2,11 @@
 
 Targets fill up like water: every source gets its weight's share of all words, but
 at most ``most`` times its own size, and what is cut off is shared out again by weight.
-A document's expected copies are target over size of its source. Documents are
-ordered by size within their source, their expected copies summed up from a random
-offset of the source, and one copy goes out at each whole number that is crossed. The order
-by size keeps the words taken within about one document of the target.
+A document's expected copies are target over size of its source. Documents are put
+in order within their source, their expected copies summed up from a random
+offset of the source, and one copy goes out at each whole number that is crossed. The order goes
+up by size through one half of the documents and down through the other, so neighbours
+are alike, it ends where it began, and the offset cancels out of the words taken.
 
 Prefix sums never gather a source in one task: rows are range-sorted over all tasks and
 written, each written partition sums its own rows, and a partition starts at the
@@ -83,7 +84,10 @@ def mix(
     goals = targets(sizes, weights, most).select(F.col("source").alias("of"), "source_size", "target")
     share = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     placed = units.join(goals, F.col("source").eqNullSafe(F.col("of"))).drop("of").withColumn("share", share)
-    taken = systematic(placed, "source", ["size", "id", "hash"], "share", seed)
+    # up by size through one half of the documents, down through the other: see above
+    half = F.coalesce(F.ascii(F.md5(F.col("id").cast("string").cast("binary"))) % 2, F.lit(0))
+    placed = placed.withColumn("half", half).withColumn("along", F.when(half == 0, F.col("size")).otherwise(-F.col("size")))
+    taken = systematic(placed, "source", ["half", "along", "id", "hash"], "share", seed)
     taken = taken.select(F.col("id").alias("__id"), F.col("source").alias("__source"), F.col("hash").alias("__other"), "source_size", "target", "copies")
     same = F.col(key).eqNullSafe(F.col("__id")) & F.col(source).eqNullSafe(F.col("__source")) & (F.col("__hash") == F.col("__other"))
     return sized.join(taken, same).select(*columns, *added)

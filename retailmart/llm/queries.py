@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from retailmart.llm import chat, langid, licenses, minhash, mixing, pii, quality, segment, simhash, warc
 from retailmart.llm.follow import followed
+from retailmart.llm.oracle import ORACLE  # noqa: F401
 from retailmart.llm.text import filled
 from retailmart.sources.scratch import shared_folder, written
 
@@ -132,4 +133,3 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_mixing": op10_mixing,
 }
-ORACLE: dict[str, str] = {}
