@@ -117,12 +117,16 @@ def _least(percent: int) -> int:
     return math.floor(SLOTS * share - 4 * math.sqrt(SLOTS * share * (1 - share)))
 
 
-def _confirm(pairs: DataFrame, df: DataFrame, nodes: DataFrame, key: str, text: str, shingle: int, percent: int) -> DataFrame:
-    """The pairs whose full sets are alike enough, written."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def _texts(df: DataFrame, nodes: DataFrame, needed: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
+    """``(node, text)`` of the needed nodes, written: one row of each, picked by its id."""
     wanted = written(nodes.join(needed, "node").select("node", F.col("id").alias("__id")), "wanted")
-    texts = df.select(F.col(key).alias("__key"), F.col(text).cast("string").alias("text")).join(wanted, F.col("__key").eqNullSafe(F.col("__id"))).select("node", "text")
-    texts = written(texts.mapInArrow(partial(_own, shingle=shingle), "node bigint, text string").dropDuplicates(["node"]), "texts")
+    # dealt out by id at every size, as the needed nodes grow with the data
+    rows = df.select(F.col(key).alias("__key"), F.col(text).cast("string").alias("text")).join(wanted.hint("merge"), F.col("__key").eqNullSafe(F.col("__id")))
+    return written(rows.select("node", "text").mapInArrow(partial(_own, shingle=shingle), "node bigint, text string").dropDuplicates(["node"]), "texts")
+
+
+def _confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The pairs whose full sets are alike enough, written."""
     first = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     rows = first.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
     return written(rows.mapInArrow(partial(_confirmed, shingle=shingle, percent=percent), "a bigint, b bigint"), "links")
@@ -151,7 +155,8 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
 
     star = members.where("node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
     tried = written(_possible(star, bits, percent), "tried")
-    links = _confirm(tried, df, nodes, key, text, shingle, percent)
+    texts = _texts(df, nodes, members.select("node").distinct(), key, text, shingle)
+    links = _confirm(tried, texts, shingle, percent)
     labels = components(links)
 
     grouped = members.join(labels, "node", "left").select("bucket", "node", "size", "centre", F.coalesce("label", "node").alias("label"))
@@ -171,7 +176,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
     rest = rest.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
     rest = written(rest, "rest")
     if not rest.isEmpty():
-        links = links.union(_confirm(rest, df, nodes, key, text, shingle, percent))
+        links = links.union(_confirm(rest, texts, shingle, percent))
         labels = components(links)
 
     named = nodes.select("node", "id").join(labels, "node", "left").select("node", "id", F.coalesce("label", "node").alias("label"))
