@@ -9,8 +9,8 @@ The steps, each a Spark job over written tables:
    weighted by their size: the text that others were copied from. Pairs that the signature
    leaves possible are confirmed on full sets. This is linear in the bucket.
 4. Links are grouped. Members of a bucket that are still in another group than the bucket's centre are
-   held against all members of other groups of that bucket, in blocks. No pair is left out for the size
-   of its bucket; pairs within a group are not made, as they cannot change it.
+   held against all its members, a block of the ones and a block of the others in one task, on full
+   sets; only links leave the task. No pair is left out for the size of its bucket.
 5. All links are grouped; a group's id is its smallest document id.
 
 With 32 bands of 6, a pair of likeness 0.8 meets with a probability of 0.9999. Pairs whose 192 signature bits put
@@ -30,7 +30,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retailmart.llm.graph import components
@@ -41,7 +41,8 @@ SHINGLE = 5
 PERCENT = 80
 BANDS, ROWS = 32, 6
 SLOTS = BANDS * ROWS
-BLOCK = 1000  # members of a bucket in one block of step 4
+BLOCK = 256  # members of a bucket in one block of step 4
+_COLUMNS = 4096
 _ELEMENTS = 200_000  # shingles signed at once
 
 
@@ -132,6 +133,41 @@ def _confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     return written(rows.mapInArrow(partial(_confirmed, shingle=shingle, percent=percent), "a bigint, b bigint"), "links")
 
 
+def _compared(table: pa.Table, shingle: int, percent: int) -> pa.Table:
+    """Links between a block of members apart from the centre and a block of all members of their bucket.
+
+    Intersections of all sets are products of presence matrices, some columns at a time. One link
+    for a member and each other group it meets is enough.
+    """
+    cache = WordHashes()
+    asks = np.array(table.column("asks").to_pylist(), bool)
+    nodes, labels = (np.array(table.column(c).to_pylist(), np.int64) for c in ("node", "label"))
+    sets = [shingle_set(t.as_py(), shingle, cache) for t in table.column("text")]
+    one, other = np.flatnonzero(asks), np.flatnonzero(~asks)
+    links: list[tuple[int, int]] = []
+    if len(one) and len(other):
+        vocabulary = np.unique(np.concatenate([sets[i] for i in other]))
+        found = [np.searchsorted(vocabulary, np.intersect1d(s, vocabulary, assume_unique=True)) for s in sets]
+        both = np.zeros((len(one), len(other)), np.float32)
+        for start in range(0, len(vocabulary), _COLUMNS):
+            present = np.zeros((len(sets), _COLUMNS), np.float32)
+            for i, at in enumerate(found):
+                low, high = np.searchsorted(at, (start, start + _COLUMNS))
+                present[i, at[low:high] - start] = 1
+            both += present[one] @ present[other].T
+        sizes = np.array([len(s) for s in sets], np.float64)
+        alike = 100 * both >= percent * (sizes[one][:, None] + sizes[other][None, :] - both)
+        for i, j in zip(*np.nonzero(alike & (labels[one][:, None] != labels[other][None, :])), strict=True):
+            links.append((int(one[i]), int(other[j])))
+    seen, a, b = set(), [], []
+    for x, y in links:
+        if (x, labels[y]) not in seen:
+            seen.add((x, labels[y]))
+            a.append(int(nodes[x]))
+            b.append(int(nodes[y]))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 def _own(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     """Rows whose text has the set it is asked for; others share only the id."""
     cache = WordHashes()
@@ -159,24 +195,33 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
     links = _confirm(tried, texts, shingle, percent)
     labels = components(links)
 
-    grouped = members.join(labels, "node", "left").select("bucket", "node", "size", "centre", F.coalesce("label", "node").alias("label"))
+    # A bucket of two has no pair left.
+    grouped = members.where("size > 2").join(labels, "node", "left").select("bucket", "node", "size", "centre", F.coalesce("label", "node").alias("label"))
     of_centre = labels.select(F.col("node").alias("centre"), F.col("label").alias("main"))
-    grouped = grouped.join(of_centre, "centre", "left").select("bucket", "node", "size", "label", F.coalesce("main", "centre").alias("main"))
-    grouped = written(grouped.join(bits, "node"), "grouped")
+    grouped = written(grouped.join(of_centre, "centre", "left").select("bucket", "node", "size", "label", F.coalesce("main", "centre").alias("main")), "grouped")
     apart = grouped.where("label <> main")
-    open_buckets = apart.select("bucket").distinct()
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    held = grouped.join(open_buckets, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), blocks.cast("bigint")).cast("int"))
-    asking = apart.withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    x, y = asking.alias("x"), held.alias("y")
-    # two members apart from the centre meet once, from the smaller side
-    once = (F.col("y.label") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
-    meet = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.block") == F.col("y.block")) & (F.col("x.label") != F.col("y.label")) & once
-    rest = x.join(y, meet & (_agree("x.bits", "y.bits") >= _least(percent)))
-    rest = rest.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct().join(tried, ["a", "b"], "left_anti")
-    rest = written(rest, "rest")
-    if not rest.isEmpty():
-        links = links.union(_confirm(rest, texts, shingle, percent))
+    held = grouped.join(apart.groupBy("bucket").agg(F.count("*").alias("apart")), "bucket")
+
+    def blocks(size: str) -> Column:
+        return F.ceil(F.col(size) / BLOCK).cast("int")
+
+    def place(size: str) -> Column:
+        return F.pmod(F.xxhash64("node"), blocks(size).cast("bigint")).cast("int")
+
+    def all_of(size: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), blocks(size) - 1))
+
+    asking = held.where("label <> main").withColumn("row", place("apart")).withColumn("column", all_of("size"))
+    asked = held.withColumn("row", all_of("apart")).withColumn("column", place("size"))
+    sides = asking.withColumn("asks", F.lit(True)).unionByName(asked.withColumn("asks", F.lit(False)))
+    blocked = sides.select("bucket", "row", "column", "asks", "node", "label").join(texts, "node")
+
+    def compare(table: pa.Table) -> pa.Table:
+        return _compared(table, shingle, percent)
+
+    more = written(blocked.groupBy("bucket", "row", "column").applyInArrow(compare, "a bigint, b bigint"), "links")
+    if not more.isEmpty():
+        links = links.union(more)
         labels = components(links)
 
     named = nodes.select("node", "id").join(labels, "node", "left").select("node", "id", F.coalesce("label", "node").alias("label"))
