@@ -159,7 +159,7 @@ def write_archives(
     return spark.read.parquet(f"{folder}/manifest")
 
 
-def _streamed(source, size: int = 1 << 20) -> Iterator[bytes]:
+def _streamed(source, size: int = 1 << 16) -> Iterator[bytes]:
     """The uncompressed bytes of a file, one gzip member at a time; a member holds one record."""
     rest, inflate, out = b"", zlib.decompressobj(31), io.BytesIO()
     while True:
