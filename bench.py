@@ -1,20 +1,22 @@
 """Times the star build, the marts on the stored star, and queries straight from the raw tables.
 
 Prints one JSON line. ``BENCH_SF_DIR`` names the tables, ``BENCH_CPUS`` the cores,
-``BENCH_RUNS`` the timed runs per query, of which the best counts.
+``BENCH_RUNS`` the timed runs per query, of which the best counts, ``BENCH_TARGET`` the folder to
+build in (a new one in the shared folder of the session by default).
 """
 
 from __future__ import annotations
 
 import json
 import os
-import tempfile
 import time
+import uuid
 
 from retailmart.plans.adhoc import ADHOC
 from retailmart.plans.jobs import build_marts, build_star, read_star, stored_staging
 from retailmart.plans.marts import BREAKDOWNS, MART_PLANS
 from retailmart.session import local_session
+from retailmart.sources.scratch import shared_folder
 from retailmart.trial.queries import QUERIES, reader
 
 # straight from the raw tables, all joins and deduplication included
@@ -40,7 +42,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = local_session(cpus, app="bench")
     spark.sparkContext.setLogLevel("ERROR")
-    target = tempfile.mkdtemp(prefix="retailmart-bench-")
+    target = os.environ.get("BENCH_TARGET") or f"{shared_folder(spark)}/bench-{uuid.uuid4().hex}"
 
     def best(action) -> float:
         return round(min(seconds(action) for _ in range(runs)), 3)
