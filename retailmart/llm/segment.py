@@ -4,11 +4,10 @@ The pieces of a text form a lattice; a path's score is the sum of its pieces'. F
 place the best score of the text before it. That is the exact rest of a path built from the
 end, so a backward A-star search with it as heuristic takes paths off its heap in order of score, the best N first.
 
-A text falls into parts wherever no piece has the two neighbouring characters side by side, above all before
-each blank. No path crosses such a place, so lattices are per part; a task remembers the N best paths of parts up to a
-bound. The N best of a whole text are found by the same search over the parts: its best paths joined, and from
-there exchanges of single parts in order of loss. Only the N - 1 parts whose second path loses least can take part in
-one of the N best, and ties are settled by place.
+No piece joins words or lines, so a word, with the blanks before it, has a lattice of its own. A task remembers words
+up to a bound: best path, its score, and the loss of the second path, which is the least that an arc beside the best path costs
+by forward and backward scores. The N best paths of a text exchange words of its best one, in order of loss. Only the N - 1 words
+whose second path loses least can take part; for these the search is run. Ties are settled by place.
 
 Characters outside the vocabulary become their UTF-8 bytes' pieces. As the vocabulary's scores are merge ranks, a
 piece scores minus the logarithm of its rank, as word frequencies fall, and a byte as the last rank, times two.
@@ -26,7 +25,6 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import partial
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +35,9 @@ BEST = 4
 BLANK = "▁"
 _LITERAL = "\udce2"  # stands for a blank mark that is in the text itself; no valid text holds it
 _WORD = re.compile(f"{BLANK}+[^{BLANK}\n]*|[^{BLANK}\n]+|\n")  # a word begins at a blank; a line break joins nothing
-_CACHE = 400_000
+_CACHE = 600_000
+UNIT = 1_000_000  # scores are whole numbers of this unit inside, so that sums and ties are exact
+_NEVER = -(1 << 62)
 
 
 class Vocabulary:
@@ -47,11 +47,11 @@ class Vocabulary:
         import sentencepiece
 
         read = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.pieces: dict[str, tuple[int, float]] = {}
+        self.pieces: dict[str, tuple[tuple[int, ...], int]] = {}
         self.bytes: dict[int, int] = {}
         self.text: list[bytes] = []
         ids = range(read.vocab_size())
-        last = 2 * math.log(len(ids) + 1)
+        last = round(2 * UNIT * math.log(len(ids) + 1))
         for i in ids:
             piece = read.id_to_piece(i)
             if read.is_byte(i):
@@ -60,115 +60,167 @@ class Vocabulary:
             elif read.is_control(i) or read.is_unknown(i):
                 self.text.append(b"")
             else:
-                self.pieces[piece] = (i, -math.log(2 - read.get_score(i)) if read.get_score(i) > -1e8 else -last)
+                rank = 2 - read.get_score(i)
+                self.pieces[piece] = ((i,), -round(UNIT * math.log(rank)) if rank < 1e8 else -last)
                 self.text.append(piece.replace(BLANK, " ").encode())
         if any(BLANK in p.lstrip(BLANK) or "\n" in p for p in self.pieces):
             raise ValueError("a piece joins words or lines, which are segmented one by one")
         self.byte_score = -last
         self.longest = max(map(len, self.pieces))
-        self.joined = {p[i : i + 2] for p in self.pieces for i in range(len(p) - 1)}
-        self.heads = {p[:n] for p in self.pieces for n in range(1, len(p) + 1)}
-
-    def paths(self, part: str, best: int) -> list[tuple[float, tuple[int, ...]]]:
-        """The best paths of one part, best first; equal scores in order of their pieces' ids from the end."""
-        n = len(part)
-        arcs: list[list[tuple[int, float, tuple[int, ...]]]] = [[] for _ in range(n + 1)]
-        forward = [0.0] + [-math.inf] * n
+        #: every beginning of a piece, with the piece itself where it is one
+        self.heads: dict[str, tuple | None] = {p[:n]: None for p in self.pieces for n in range(1, len(p))}
+        self.heads.update(self.pieces)
+
+    def spelled(self, char: str) -> tuple[tuple[int, ...], int]:
+        """A character outside the vocabulary as bytes."""
+        raw = BLANK.encode() if char == _LITERAL else char.encode("utf-8", "surrogatepass")
+        return tuple(self.bytes[b] for b in raw), len(raw) * self.byte_score
+
+    def lattice(self, word: str) -> tuple[list, list[int], list]:
+        """Arcs ``(start, end, piece)`` by start, forward scores, and the last arc of the best path to each place."""
+        n, longest, get = len(word), self.longest, self.heads.get
+        arcs, forward, last = [], [0] + [_NEVER] * n, [None] * (n + 1)
         for start in range(n):
             here = forward[start]
-            for end in range(start + 1, min(n, start + self.longest) + 1):
-                piece = part[start:end]
-                if piece not in self.heads:
+            if word[start] not in self.pieces:
+                known = self.spelled(word[start])
+                arcs.append((start, start + 1, known))
+                if here + known[1] > forward[start + 1]:
+                    forward[start + 1] = here + known[1]
+                    last[start + 1] = arcs[-1]
+            for end in range(start + 1, min(n, start + longest) + 1):
+                known = get(word[start:end], 0)
+                if known is None:
+                    continue
+                if not known:
                     break
-                known = self.pieces.get(piece)
-                if known:
-                    arcs[end].append((start, known[1], (known[0],)))
-                    forward[end] = max(forward[end], here + known[1])
-            if part[start] not in self.pieces:
-                raw = BLANK.encode() if part[start] == _LITERAL else part[start].encode("utf-8", "surrogatepass")
-                arcs[start + 1].append((start, len(raw) * self.byte_score, tuple(self.bytes[b] for b in raw)))
-                forward[start + 1] = max(forward[start + 1], here + len(raw) * self.byte_score)
-        if best == 1 or n == 1:
-            best = 1
-        found, tick = [], count()
-        heap = [(-forward[n], next(tick), n, 0.0, ())]
-        while heap and len(found) < best:
-            total, _, place, behind, ids = heapq.heappop(heap)
+                arc = (start, end, known)
+                arcs.append(arc)
+                score = here + known[1]
+                if score > forward[end]:
+                    forward[end] = score
+                    last[end] = arc
+        return arcs, forward, last
+
+    def best(self, word: str) -> tuple[int, list[int], int]:
+        """Score and pieces of the best path, and what the second one loses; ``-_NEVER`` if there is none."""
+        arcs, forward, last = self.lattice(word)
+        n = len(word)
+        total, ids, place, taken = forward[n], [], n, set()
+        while place:
+            arc = last[place]
+            ids.append(arc[2][0])
+            place = arc[0]
+            taken.add(arc)
+        backward, second = [_NEVER] * n + [0], _NEVER
+        for arc in reversed(arcs):
+            start, end, piece = arc
+            behind = backward[end] + piece[1]
+            if behind > backward[start]:
+                backward[start] = behind
+            if forward[start] + behind > second and arc not in taken:
+                second = forward[start] + behind
+        return total, [i for piece in reversed(ids) for i in piece], total - second if second > _NEVER // 2 else -_NEVER
+
+    def paths(self, word: str, best: int) -> list[tuple[int, tuple[int, ...]]]:
+        """The best paths of one word, best first; of equal scores the one found last goes first, so equals do not fan out."""
+        all_arcs, forward, _ = self.lattice(word)
+        n = len(word)
+        arcs: list[list] = [[] for _ in range(n + 1)]
+        for start, end, piece in all_arcs:
+            arcs[end].append((start, piece[1], piece))
+        found, tick = [], 0
+        # entries: loss so far (exact, as what is left costs what forward says), newest first, place, score behind, pieces behind
+        heap = [(-forward[n], 0, n, 0, None)]
+        while heap:
+            total, _, place, behind, chain = heapq.heappop(heap)
             if place == 0:
-                found.append((-total, ids))
+                ids: list[int] = []
+                while chain:
+                    (piece, _), chain = chain
+                    ids += piece
+                found.append((-total, tuple(ids)))
+                if len(found) == best:
+                    break
                 continue
             for start, score, piece in arcs[place]:
-                heapq.heappush(heap, (-(forward[start] + score + behind), next(tick), start, score + behind, piece + ids))
+                tick -= 1
+                heapq.heappush(heap, (-(forward[start] + score + behind), tick, start, score + behind, (piece, chain)))
         return found
 
-    def parts(self, text: str) -> list[str]:
-        """Cuts wherever no piece joins the neighbours."""
-        out, start = [], 0
-        for i in range(1, len(text)):
-            if text[i - 1 : i + 1] not in self.joined:
-                out.append(text[start:i])
-                start = i
-        return [*out, text[start:]] if text else []
-
     def decode(self, ids) -> str:
         """The text of a path: pieces and bytes, without the blank put before the text."""
         raw = b"".join(self.text[i] for i in ids).decode("utf-8", "surrogatepass")
         return raw[1:] if raw.startswith(" ") else raw
 
 
+class _Words(dict):
+    """Words by number, with their best paths in flat arrays."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        self.vocabulary = vocabulary
+        self.totals, self.losses, self.starts, self.lengths, self.pool = array("q"), array("q"), array("q"), array("q"), array("i")
+
+    def __missing__(self, word: str) -> int:
+        total, ids, loss = self.vocabulary.best(word)
+        self.totals.append(total)
+        self.losses.append(loss)
+        self.starts.append(len(self.pool))
+        self.lengths.append(len(ids))
+        self.pool.extend(ids)
+        self[word] = number = len(self.totals) - 1
+        return number
+
+
 class Segmenter:
     """N-best paths of texts; remembers words up to a bound."""
 
     def __init__(self, vocabulary: Vocabulary, best: int = BEST) -> None:
         self.vocabulary, self.best = vocabulary, best
-        self.words: dict[str, tuple[float, tuple[int, ...], list]] = {}
-
-    def word(self, word: str) -> tuple[float, tuple[int, ...], list]:
-        """Score and pieces of the best path, and the parts' further paths as ``(loss, from, to, pieces)`` within the best."""
-        known = self.words.get(word)
-        if known is None:
-            total, ids, others = 0.0, [], []
-            for part in self.vocabulary.parts(word):
-                first, *rest = self.vocabulary.paths(part, self.best)
-                if rest:
-                    others.append([(first[0] - s, len(ids), len(ids) + len(first[1]), p) for s, p in rest])
-                total += first[0]
-                ids += first[1]
-            if len(self.words) >= _CACHE:
-                self.words.clear()
-            self.words[word] = known = (total, tuple(ids), sorted(others, key=lambda x: x[0][0])[: self.best - 1])
-        return known
-
-    def segment(self, text: str | None) -> tuple[float, array, list[tuple[float, list]]]:
+        self.words = _Words(vocabulary)
+
+    def segment(self, text: str | None) -> tuple[float, np.ndarray, list[tuple[float, list]]]:
         """Score and pieces of the best path; then each further path's score and edits ``(from, to, pieces)`` of the best."""
-        ids, total = array("i"), 0.0
         if not text:
-            return total, ids, []
-        where, least = {}, []
-        known, make = self.words.get, self.word
-        for word in _WORD.findall(BLANK + text.replace(BLANK, _LITERAL).replace(" ", BLANK)):
-            score, own, others = known(word) or make(word)
-            if others:
-                base = len(ids)
-                where[base] = others
-                least += [(o[0][0], base, i) for i, o in enumerate(others)]
-            total += score
-            ids.extend(own)
-        chosen = heapq.nsmallest(self.best - 1, least)
-        options = [[(loss, base + a, base + b, p) for loss, a, b, p in where[base][i]] for _, base, i in chosen]
-        # best first over how far each chosen part is from its best path
+            return 0.0, np.empty(0, np.int32), []
+        if len(self.words) > _CACHE or len(self.words.pool) > 16 * _CACHE:
+            self.words = _Words(self.vocabulary)
+        memory = self.words
+        words = _WORD.findall(BLANK + text.replace(BLANK, _LITERAL).replace(" ", BLANK))
+        number = np.fromiter(map(memory.__getitem__, words), np.int64, len(words))
+        lengths = np.frombuffer(memory.lengths, np.int64)[number]
+        starts = np.frombuffer(memory.starts, np.int64)[number]
+        losses = np.frombuffer(memory.losses, np.int64)[number]
+        total = int(np.frombuffer(memory.totals, np.int64)[number].sum())
+        bases = np.cumsum(lengths) - lengths
+        ids = np.frombuffer(memory.pool, np.int32)[np.arange(int(lengths.sum())) + np.repeat(starts - bases, lengths)]
+        options = []
+        for i in self._least(losses):
+            first, *rest = self.vocabulary.paths(words[i], self.best)
+            base = int(bases[i])
+            options.append([(first[0] - score, base, base + int(lengths[i]), path) for score, path in rest])
+        # best first over how far each chosen word is from its best path
         start = (0,) * len(options)
-        heap, seen, out = [(0.0, start)], {start}, []
+        heap, seen, out = [(0, start)], {start}, []
         while heap and len(out) < self.best:
             loss, steps = heapq.heappop(heap)
             taken = sorted(options[k][n - 1][1:] for k, n in enumerate(steps) if n)
-            out.append((total - loss, taken))
+            out.append(((total - loss) / UNIT, taken))
             for k, n in enumerate(steps):
                 further = steps[:k] + (n + 1,) + steps[k + 1 :]
                 if n < len(options[k]) and further not in seen:
                     seen.add(further)
                     heapq.heappush(heap, (sum(options[j][m - 1][0] for j, m in enumerate(further) if m), further))
-        return total, ids, out[1:]
+        return total / UNIT, ids, out[1:]
+
+    def _least(self, losses: np.ndarray) -> list[int]:
+        """Places of the N - 1 words whose second path loses least, earlier places first among equals."""
+        wanted = min(self.best - 1, len(losses))
+        if not wanted:
+            return []
+        bound = np.partition(losses, wanted - 1)[wanted - 1]
+        near = np.flatnonzero(losses <= min(bound, -_NEVER - 1))
+        return near[np.argsort(losses[near], kind="stable")][:wanted].tolist()
 
 
 def edited(ids, edits) -> list[int]:
@@ -186,19 +238,19 @@ _FIELDS = "score double, ids array<int>, others array<struct<score: double, edit
 def _encoded(batches: Iterator[pa.RecordBatch], model: bytes, best: int) -> Iterator[pa.RecordBatch]:
     segmenter = Segmenter(Vocabulary(model), best)
     for batch in batches:
-        start, scores, flat, ends, others = 0, [], array("i"), [0], []
+        start, scores, flat, ends, others = 0, [], [], [0], []
         for i, text in enumerate(batch.column(batch.num_columns - 1)):
             score, ids, rest = segmenter.segment(text.as_py())
             scores.append(score)
-            flat.extend(ids)
-            ends.append(len(flat))
+            flat.append(ids)
+            ends.append(ends[-1] + len(ids))
             others.append([{"score": s, "edits": [{"start": a, "end": b, "ids": p} for a, b, p in edits]} for s, edits in rest])
-            if len(flat) > 1_000_000 or i + 1 == len(batch):
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32) if flat else [], pa.int32()))
+            if ends[-1] > 1_000_000 or i + 1 == len(batch):
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flat)))
                 found = [pa.array(scores, pa.float64()), ids, pa.array(others, _EDITS)]
                 kept = batch.slice(start, i + 1 - start).columns[:-1]
                 yield pa.RecordBatch.from_arrays([*kept, *found], [*batch.schema.names[:-1], "score", "ids", "others"])
-                start, scores, flat, ends, others = i + 1, [], array("i"), [0], []
+                start, scores, flat, ends, others = i + 1, [], [], [0], []
 
 
 def encode(df: DataFrame, model: bytes, text: str = "text", best: int = BEST) -> DataFrame:
