@@ -1,7 +1,6 @@
-import pytest
-
-SMALL = "/root/testdata/sf0.001"
+"""A table like documents, from short rows."""
 
+import pytest
 
 @pytest.fixture
 def documents(spark):

@@ -9,6 +9,7 @@ import random
 import duckdb
 import pytest
 from pyspark.sql import functions as F
+from small_documents import documents  # noqa: F401
 
 import corpus_pipeline
 from retailmart.llm import chat, graph, minhash, segment, sketches, warc

@@ -8,6 +8,7 @@ from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
+from small_documents import documents  # noqa: F401
 
 from retailmart.llm import langid, licenses, mixing, pii, quality, simhash
 from retailmart.llm.follow import followed
