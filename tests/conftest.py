@@ -3,6 +3,7 @@ import os
 import sys
 from decimal import Decimal
 
+import duckdb
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -86,6 +87,15 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(scope="session")
+def database():
+    """The smallest trial tables in the checking database."""
+    connection = duckdb.connect()
+    for table in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"):
+        connection.execute(f"create view {table} as select * from '{SMALL}/{table}.parquet'")
+    return connection
+
+
 @pytest.fixture
 def staged(spark):
     """``staged({...}, {...})``: a reader of staging rows, complete but for what is given."""

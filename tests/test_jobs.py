@@ -17,11 +17,12 @@ from retailmart.plans.jobs import (
     read_star,
     run,
 )
-from retailmart.plans.marts import BREAKDOWNS, MART_PLANS, SHOWN_KEYS
+from retailmart.plans.marts import BREAKDOWNS, MART_PLANS
 from retailmart.schemas import MARTS, STAGING, STAR
 from retailmart.sources.jdbc import Database
 from retailmart.sources.store import Store
-from retailmart.trial.queries import derived, reader
+from retailmart.trial.oracle import ORACLE
+from retailmart.trial.queries import reader
 
 
 @pytest.fixture(scope="module")
@@ -47,11 +48,14 @@ def test_sale_keys_are_unique(spark, built):
 
 
 @pytest.mark.parametrize("name", [*MART_PLANS, *BREAKDOWNS, *ADHOC])
-def test_stored_and_derived_star_agree(spark, built, name):
+def test_stored_star_gives_the_reports(spark, built, database, name):
+    """Against the SQL, as the same plans on the derived star are in test_oracle: so both stars agree."""
+    found = database.execute(ORACLE[name])
+    columns = [d[0] for d in found.description]
     plan = {**MART_PLANS, **BREAKDOWNS, **ADHOC}[name]
-    fresh = rows_of(plan(derived(spark, SMALL, *SHOWN_KEYS.get(name, ()))))
-    assert rows_of(plan(read_star(spark, built[0]))) == fresh
-    assert fresh
+    expected = sorted(repr(tuple(r)) for r in found.fetchall())
+    assert sorted(repr(tuple(r)) for r in plan(read_star(spark, built[0])).select(*columns).collect()) == expected
+    assert expected
 
 
 def test_stored_references_are_sound(spark, built):

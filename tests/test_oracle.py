@@ -1,6 +1,5 @@
 """Every registered query against its SQL on the smallest trial tables."""
 
-import duckdb
 import pytest
 from conftest import SMALL
 
@@ -8,21 +7,12 @@ import __spark_entry__ as driver
 from retailmart.trial.oracle import ORACLE
 from retailmart.trial.queries import QUERIES
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 TYPES = {
     "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "string": "VARCHAR", "date": "DATE",
     "boolean": "BOOLEAN", "double": "DOUBLE",
 }
 
 
-@pytest.fixture(scope="module")
-def database():
-    connection = duckdb.connect()
-    for table in TABLES:
-        connection.execute(f"create view {table} as select * from '{SMALL}/{table}.parquet'")
-    return connection
-
-
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLE)
     assert set(QUERIES) <= set(driver.queries()) and set(ORACLE) <= set(driver.oracle_sql())
