@@ -35,6 +35,15 @@ MIN_LEFT = 0.3  # a document must keep this share of its words
 SYMBOLS = "[#*$%&|<>]"
 
 
+def _held(flag: Column) -> Column:
+    """The flag with a part that Spark takes to be random, always true.
+
+    A filter on a flag is else moved below the steps that make it, each step written out inside
+    the next, and computed again for every element of the lists that the steps run through.
+    """
+    return flag & (F.rand(0) >= 0)
+
+
 def _covered(words_column: str) -> list[tuple[str, Column]]:
     """Steps that count the words lying in a three-word window found twice or more.
 
@@ -95,7 +104,7 @@ def measure(df: DataFrame, text: str = "text") -> DataFrame:
         "n_repeat_words",
     )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    return out.withColumn("base_failed", failed)
+    return out.withColumn("base_failed", _held(failed))
 
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
@@ -153,4 +162,4 @@ def judge(
     out = out.select(*columns, left_text.alias("left_text"), F.col("__left").isNotNull().alias("__changed"))
     left_words = F.when(F.col("__changed"), F.size(words(F.col("left_text"))).cast("bigint")).otherwise(F.col("n_words"))
     out = out.select(*columns, "left_text", left_words.alias("left_words"))
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("left_words") >= min_left * F.col("n_words")))
+    return out.withColumn("kept", _held(~F.col("base_failed") & (F.col("left_words") >= min_left * F.col("n_words"))))

@@ -5,9 +5,9 @@ place the best score of the text before it. That is the exact rest of a path bui
 end, so a backward A-star search with it as heuristic takes paths off its heap in order of score, the best N first.
 
 No piece joins words or lines, so a word, with the blanks before it, has a lattice of its own. A task remembers words
-up to a bound: best path, its score, and the loss of the second path, which is the least that an arc beside the best path costs
-by forward and backward scores. The N best paths of a text exchange words of its best one, in order of loss. Only the N - 1 words
-whose second path loses least can take part; for these the search is run. Ties are settled by place.
+up to a bound: best path, its score, and the loss of the second path, which forward scores tell. The N best paths of a
+text exchange words of its best one, in order of loss. Only the N - 1 words whose second path loses least can take
+part; for these the search is run. Ties are settled by place.
 
 Characters outside the vocabulary become their UTF-8 bytes' pieces. As the vocabulary's scores are merge ranks, a
 piece scores minus the logarithm of its rank, as word frequencies fall, and a byte as the last rank, times two.
@@ -35,7 +35,7 @@ BEST = 4
 BLANK = "▁"
 _LITERAL = "\udce2"  # stands for a blank mark that is in the text itself; no valid text holds it
 _WORD = re.compile(f"{BLANK}+[^{BLANK}\n]*|[^{BLANK}\n]+|\n")  # a word begins at a blank; a line break joins nothing
-_CACHE = 600_000
+_CACHE = 800_000
 UNIT = 1_000_000  # scores are whole numbers of this unit inside, so that sums and ties are exact
 _NEVER = -(1 << 62)
 
@@ -76,59 +76,66 @@ class Vocabulary:
         raw = BLANK.encode() if char == _LITERAL else char.encode("utf-8", "surrogatepass")
         return tuple(self.bytes[b] for b in raw), len(raw) * self.byte_score
 
-    def lattice(self, word: str) -> tuple[list, list[int], list]:
-        """Arcs ``(start, end, piece)`` by start, forward scores, and the last arc of the best path to each place."""
+    def lattice(self, word: str) -> tuple[list, list[int]]:
+        """For each place the arcs ``(start, piece)`` that end there, and the forward scores."""
+        n = len(word)
+        arcs: list[list] = [[] for _ in range(n + 1)]
+        forward = [0] + [_NEVER] * n
+        for start in range(n):
+            found = [] if word[start] in self.pieces else [(start + 1, self.spelled(word[start]))]
+            for end in range(start + 1, min(n, start + self.longest) + 1):
+                known = self.heads.get(word[start:end], 0)
+                if known == 0:
+                    break
+                if known:
+                    found.append((end, known))
+            for end, piece in found:
+                arcs[end].append((start, piece))
+                forward[end] = max(forward[end], forward[start] + piece[1])
+        return arcs, forward
+
+    def best(self, word: str) -> tuple[int, list[int], int]:
+        """Score and pieces of the best path, and what the second one loses; ``-_NEVER`` if there is none.
+
+        Seen from the end, a path leaves the best one by an arc into a place of the best one. So the least
+        loss is that of the second best arc into such a place.
+        """
         n, longest, get = len(word), self.longest, self.heads.get
-        arcs, forward, last = [], [0] + [_NEVER] * n, [None] * (n + 1)
+        forward, second, last = [0] + [_NEVER] * n, [_NEVER] * (n + 1), [None] * (n + 1)
         for start in range(n):
             here = forward[start]
-            if word[start] not in self.pieces:
+            if not get(word[start]):
                 known = self.spelled(word[start])
-                arcs.append((start, start + 1, known))
                 if here + known[1] > forward[start + 1]:
-                    forward[start + 1] = here + known[1]
-                    last[start + 1] = arcs[-1]
+                    second[start + 1], forward[start + 1], last[start + 1] = forward[start + 1], here + known[1], (start, known)
+                else:
+                    second[start + 1] = max(second[start + 1], here + known[1])
             for end in range(start + 1, min(n, start + longest) + 1):
                 known = get(word[start:end], 0)
-                if known is None:
-                    continue
-                if not known:
+                if known:
+                    score = here + known[1]
+                    if score > forward[end]:
+                        second[end] = forward[end]
+                        forward[end] = score
+                        last[end] = (start, known)
+                    elif score > second[end]:
+                        second[end] = score
+                elif known == 0:
                     break
-                arc = (start, end, known)
-                arcs.append(arc)
-                score = here + known[1]
-                if score > forward[end]:
-                    forward[end] = score
-                    last[end] = arc
-        return arcs, forward, last
-
-    def best(self, word: str) -> tuple[int, list[int], int]:
-        """Score and pieces of the best path, and what the second one loses; ``-_NEVER`` if there is none."""
-        arcs, forward, last = self.lattice(word)
-        n = len(word)
-        total, ids, place, taken = forward[n], [], n, set()
+        ids, place, loss = [], n, -_NEVER
         while place:
-            arc = last[place]
-            ids.append(arc[2][0])
-            place = arc[0]
-            taken.add(arc)
-        backward, second = [_NEVER] * n + [0], _NEVER
-        for arc in reversed(arcs):
-            start, end, piece = arc
-            behind = backward[end] + piece[1]
-            if behind > backward[start]:
-                backward[start] = behind
-            if forward[start] + behind > second and arc not in taken:
-                second = forward[start] + behind
-        return total, [i for piece in reversed(ids) for i in piece], total - second if second > _NEVER // 2 else -_NEVER
+            if forward[place] - second[place] < loss:
+                loss = forward[place] - second[place]
+            place, known = last[place]
+            ids.append(known[0])
+        if loss > -_NEVER // 2:
+            loss = -_NEVER
+        return forward[n], [i for piece in reversed(ids) for i in piece], loss
 
     def paths(self, word: str, best: int) -> list[tuple[int, tuple[int, ...]]]:
         """The best paths of one word, best first; of equal scores the one found last goes first, so equals do not fan out."""
-        all_arcs, forward, _ = self.lattice(word)
+        arcs, forward = self.lattice(word)
         n = len(word)
-        arcs: list[list] = [[] for _ in range(n + 1)]
-        for start, end, piece in all_arcs:
-            arcs[end].append((start, piece[1], piece))
         found, tick = [], 0
         # entries: loss so far (exact, as what is left costs what forward says), newest first, place, score behind, pieces behind
         heap = [(-forward[n], 0, n, 0, None)]
@@ -143,9 +150,10 @@ class Vocabulary:
                 if len(found) == best:
                     break
                 continue
-            for start, score, piece in arcs[place]:
+            for start, piece in arcs[place]:
                 tick -= 1
-                heapq.heappush(heap, (-(forward[start] + score + behind), tick, start, score + behind, (piece, chain)))
+                score = piece[1] + behind
+                heapq.heappush(heap, (-(forward[start] + score), tick, start, score, (piece, chain)))
         return found
 
     def decode(self, ids) -> str:
