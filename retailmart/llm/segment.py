@@ -44,6 +44,7 @@ class Vocabulary:
     """Pieces with ids and scores, read from a model file by the library; ``model`` is the file's bytes."""
 
     def __init__(self, model: bytes) -> None:
+        import ahocorasick
         import sentencepiece
 
         read = sentencepiece.SentencePieceProcessor(model_proto=model)
@@ -70,6 +71,13 @@ class Vocabulary:
         #: every beginning of a piece, with the piece itself where it is one
         self.heads: dict[str, tuple | None] = {p[:n]: None for p in self.pieces for n in range(1, len(p))}
         self.heads.update(self.pieces)
+        #: all pieces that end at a place, longest first; a character that only stands inside pieces, as its bytes
+        self.found = ahocorasick.Automaton()
+        for char in {c for p in self.pieces for c in p} - self.pieces.keys():
+            self.found.add_word(char, (1, self.spelled(char)))
+        for piece, known in self.pieces.items():
+            self.found.add_word(piece, (len(piece), known))
+        self.found.make_automaton()
 
     def spelled(self, char: str) -> tuple[tuple[int, ...], int]:
         """A character outside the vocabulary as bytes."""
@@ -100,28 +108,21 @@ class Vocabulary:
         Seen from the end, a path leaves the best one by an arc into a place of the best one. So the least
         loss is that of the second best arc into such a place.
         """
-        n, longest, get = len(word), self.longest, self.heads.get
-        forward, second, last = [0] + [_NEVER] * n, [_NEVER] * (n + 1), [None] * (n + 1)
-        for start in range(n):
-            here = forward[start]
-            if not get(word[start]):
-                known = self.spelled(word[start])
-                if here + known[1] > forward[start + 1]:
-                    second[start + 1], forward[start + 1], last[start + 1] = forward[start + 1], here + known[1], (start, known)
-                else:
-                    second[start + 1] = max(second[start + 1], here + known[1])
-            for end in range(start + 1, min(n, start + longest) + 1):
-                known = get(word[start:end], 0)
-                if known:
-                    score = here + known[1]
-                    if score > forward[end]:
-                        second[end] = forward[end]
-                        forward[end] = score
-                        last[end] = (start, known)
-                    elif score > second[end]:
-                        second[end] = score
-                elif known == 0:
-                    break
+        n = len(word)
+        forward, second, last = [0] * (n + 1), [_NEVER] * (n + 1), [None] * (n + 1)
+        done = 0
+        for end, (length, known) in self.found.iter(word):
+            end += 1
+            if end != done:
+                self._spell(word, done, end - 1, forward, last)
+                done, forward[end] = end, _NEVER
+            start = end - length
+            score = forward[start] + known[1]
+            if score > forward[end]:
+                second[end], forward[end], last[end] = forward[end], score, (start, known)
+            elif score > second[end]:
+                second[end] = score
+        self._spell(word, done, n, forward, last)
         ids, place, loss = [], n, -_NEVER
         while place:
             if forward[place] - second[place] < loss:
@@ -132,6 +133,12 @@ class Vocabulary:
             loss = -_NEVER
         return forward[n], [i for piece in reversed(ids) for i in piece], loss
 
+    def _spell(self, word: str, start: int, end: int, forward: list[int], last: list) -> None:
+        """Places at which no piece ends are reached by bytes only."""
+        for place in range(start + 1, end + 1):
+            known = self.spelled(word[place - 1])
+            forward[place], last[place] = forward[place - 1] + known[1], (place - 1, known)
+
     def paths(self, word: str, best: int) -> list[tuple[int, tuple[int, ...]]]:
         """The best paths of one word, best first; of equal scores the one found last goes first, so equals do not fan out."""
         arcs, forward = self.lattice(word)
@@ -186,6 +193,18 @@ class Segmenter:
     def __init__(self, vocabulary: Vocabulary, best: int = BEST) -> None:
         self.vocabulary, self.best = vocabulary, best
         self.words = _Words(vocabulary)
+        self.further: dict[str, list] = {}
+
+    def _paths(self, word: str) -> list:
+        """The best paths of a word; short words whose paths are close come again and again."""
+        known = self.further.get(word)
+        if known is None:
+            known = self.vocabulary.paths(word, self.best)
+            if len(self.further) >= _CACHE // 8:
+                self.further.clear()
+            if len(word) <= 64:
+                self.further[word] = known
+        return known
 
     def segment(self, text: str | None) -> tuple[float, np.ndarray, list[tuple[float, list]]]:
         """Score and pieces of the best path; then each further path's score and edits ``(from, to, pieces)`` of the best."""
@@ -204,7 +223,7 @@ class Segmenter:
         ids = np.frombuffer(memory.pool, np.int32)[np.arange(int(lengths.sum())) + np.repeat(starts - bases, lengths)]
         options = []
         for i in self._least(losses):
-            first, *rest = self.vocabulary.paths(words[i], self.best)
+            first, *rest = self._paths(words[i])
             base = int(bases[i])
             options.append([(first[0] - score, base, base + int(lengths[i]), path) for score, path in rest])
         # best first over how far each chosen word is from its best path
