@@ -39,8 +39,17 @@ ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, and written once into the expression."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def feistel(values: Column, radices: Column, tweak: Column, key: str, rounds: int = ROUNDS) -> Column:
     """Permute an array of ints, each below its radix; a bijection for every tweak, length and radices."""
+    return _let(F.struct(values.alias("v"), radices.alias("r")), lambda x: _network(x["v"], x["r"], tweak, key, rounds))
+
+
+def _network(values: Column, radices: Column, tweak: Column, key: str, rounds: int) -> Column:
     half = F.ceil(F.size(values) / 2).cast("int")
 
     def swapped(state: Column, number: Column) -> Column:
@@ -50,10 +59,10 @@ def feistel(values: Column, radices: Column, tweak: Column, key: str, rounds: in
         digests = F.transform(F.sequence(F.lit(0), F.floor(F.size(moving) / 16).cast("int")), lambda i: F.sha2(F.concat_ws(":", said, i.cast("string")), 256))
         stream = F.concat_ws("", digests)
 
-        def shifted(x: Column, i: Column) -> Column:
-            return ((x + F.conv(F.substr(stream, i * 4 + 1, F.lit(4)), 16, 10).cast("int")) % F.get(r, i)).cast("int")
+        def shifted(keys: Column) -> Column:
+            return F.transform(moving, lambda x, i: ((x + F.conv(F.substr(keys, i * 4 + 1, F.lit(4)), 16, 10).cast("int")) % F.get(r, i)).cast("int"))
 
-        return F.struct(still.alias("a"), F.transform(moving, shifted).alias("b"), s.alias("ra"), r.alias("rb"))
+        return F.struct(still.alias("a"), _let(stream, shifted).alias("b"), s.alias("ra"), r.alias("rb"))
 
     start = F.struct(
         F.slice(values, F.lit(1), half).alias("a"),
@@ -109,17 +118,20 @@ def _texts(values: Column) -> Column:
 def _card(m: Column, key: str) -> Column:
     digits = _digits(m)
     body = F.slice(digits, F.lit(1), F.size(digits) - 1)
-    moved = feistel(body, _repeat(10, F.size(body)), F.lit("card"), key)
-    check = (F.lit(10) - _check_sum(moved, 0) % 10) % 10
-    return _masked(m, _texts(F.concat(moved, F.array(check.cast("int")))))
+    moved = _let(body, lambda b: feistel(b, _repeat(10, F.size(b)), F.lit("card"), key))
+
+    def checked(d: Column) -> Column:
+        return F.concat(d, F.array(((F.lit(10) - (_check_sum(d, 0) % 10)) % 10).cast("int")))
+
+    return _let(_texts(_let(moved, checked)), lambda d: _masked(m, d))
 
 
 def _phone(m: Column, key: str) -> Column:
     """Ten last digits are permuted, all but the country code where the number is longer or shorter."""
-    digits = _digits(m)
-    skip = F.when(F.size(digits) > 10, F.size(digits) - 10).otherwise(0)
-    body = F.slice(digits, skip + 1, F.size(digits))
-    return _masked(m, _texts(feistel(body, _repeat(10, F.size(body)), F.lit("phone"), key)), skip=skip)
+    skip = F.greatest(F.size(_digits(m)) - 10, F.lit(0))
+    body = _let(_digits(m), lambda d: F.slice(d, F.greatest(F.size(d) - 10, F.lit(0)) + 1, F.size(d)))
+    moved = _let(body, lambda b: feistel(b, _repeat(10, F.size(b)), F.lit("phone"), key))
+    return _let(_texts(moved), lambda d: _masked(m, d, skip=skip))
 
 
 def _ip(m: Column, key: str) -> Column:
@@ -143,7 +155,7 @@ def _email(m: Column, key: str) -> Column:
     radices = F.transform(plain, lambda c: F.when(c.between("0", "9"), 10).otherwise(26))
     moved = feistel(values, radices, F.concat(F.lit("email@"), F.lower(domain)), key)
     chars = F.zip_with(moved, radices, lambda x, r: F.when(r == 10, x.cast("string")).otherwise(F.substr(F.lit(LOWER), x + 1, F.lit(1))))
-    renamed = _masked(F.lower(local), chars, "a-z0-9")
+    renamed = _let(chars, lambda c: _masked(F.lower(local), c, "a-z0-9"))
     cased = F.concat_ws("", F.zip_with(_letters(local), _letters(renamed), lambda a, b: F.when(a.rlike("^[A-Z]$"), F.upper(b)).otherwise(b)))
     return F.concat(cased, F.lit("@"), domain)
 
@@ -164,10 +176,16 @@ def _day(m: Column) -> Column:
 
 
 def _date(m: Column, key: str) -> Column:
-    number = F.date_diff(_day(m), F.lit(FIRST_DAY).cast("date"))
     a, b = CYCLE
-    moved = feistel(F.array(F.floor(number / b).cast("int"), (number % b).cast("int")), F.array(F.lit(a), F.lit(b)), F.lit("date"), key)
-    day = F.date_add(F.lit(FIRST_DAY).cast("date"), F.get(moved, 0) * b + F.get(moved, 1))
+    number = F.date_diff(_day(m), F.lit(FIRST_DAY).cast("date"))
+    pair = _let(number, lambda n: F.array(F.floor(n / b).cast("int"), (n % b).cast("int")))
+    moved = feistel(pair, F.array(F.lit(a), F.lit(b)), F.lit("date"), key)
+    day = _let(moved, lambda v: F.date_add(F.lit(FIRST_DAY).cast("date"), F.get(v, 0) * b + F.get(v, 1)))
+    return _let(day, lambda d: _dated(m, d))
+
+
+def _dated(m: Column, day: Column) -> Column:
+    """The day written as the match was."""
     day_first = m.contains(".") | (F.split(m, "[-/.]")[0].cast("int") > 12)
     wide = F.split(m, "[-/.]")
     two = lambda n, like: F.when(F.length(like) == 2, F.lpad(n.cast("string"), 2, "0")).otherwise(n.cast("string"))
