@@ -4,11 +4,15 @@ Lines are compared by their normal form: lower case, every digit as 0, blanks
 collapsed. A line that stands in too many documents of its host is page furniture
 and is removed; a document that consists mostly of such lines is rejected.
 
-Copies of a document must not turn its own lines into furniture. A document is
-therefore counted under its signature, the smallest digest among its lines: exact
-copies share it, near copies mostly do, and unrelated documents do not.
-
-A flagged line covers a fixed share of its host's signatures, so the flagged lines
+Lines are counted in distinct documents, each known by a hash of all its lines, so
+exact copies count once and unrelated documents never fold. Lines above the limits by
+that count are candidates. Near copies must not turn their own lines into furniture:
+a document that would keep too little without the candidates counts under the smallest
+candidate it holds, which near copies mostly share, and the candidates are counted again.
+A line thus needs documents with enough text beside the candidates to become furniture; pages
+that have less cannot be told from near copies of each other.
+
+A candidate covers a fixed share of its host's documents, so the candidates
 of a host are few whatever the host holds: about the lines of a document divided by
 that share. They travel as one array per host, and every document is judged in its
 own row, without exploding its lines a second time or moving its text by document.
@@ -116,21 +120,39 @@ def normal_lines(text: Column) -> Column:
     return F.transform(F.split(plain, "\n", -1), lambda x: F.trim(x))
 
 
+def _above(counted: DataFrame, sizes: DataFrame, min_documents: int, max_share: float, name: str) -> DataFrame:
+    """``(host, <name>)``: per host with any, the keys counted above both limits, as a written table."""
+    above = counted.where(F.col("n") > min_documents).alias("f").join(sizes.alias("s"), F.col("f.host").eqNullSafe(F.col("s.host")))
+    above = above.where(F.col("n") > max_share * F.col("documents"))
+    return written(above.groupBy("f.host").agg(F.collect_set("key").alias(name)).select(F.col("host"), name), name)
+
+
 def frequent_lines(
-    df: DataFrame, text: str = "text", host: str = "source", min_documents: int = MIN_DOCUMENTS, max_share: float = MAX_SHARE
+    df: DataFrame, text: str = "text", host: str = "source", min_documents: int = MIN_DOCUMENTS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT
 ) -> DataFrame:
     """``(host, flags)``: per host with any, the keys of lines above both limits, as a written table."""
     lines = df.select(F.col(host).alias("host"), normal_lines(filled(text)).alias("lines"))
-    lines = lines.select("host", F.filter(F.array_distinct("lines"), lambda x: x != "").alias("lines"))
-    lines = lines.select("host", "lines", F.xxhash64(F.array_min(F.transform("lines", F.md5))).alias("signature"))
-    lines = written(lines.select("host", "signature", F.transform("lines", lambda x: F.xxhash64(x)).alias("keys")).where("size(keys) > 0"), "lines")
-
-    sizes = lines.groupBy("host").agg(F.count_distinct("signature").alias("documents"))
-    found = lines.select("host", "signature", F.explode("keys").alias("key")).groupBy("host", "key").agg(F.count_distinct("signature").alias("n"))
-    found = found.where(F.col("n") > min_documents)
-    above = found.alias("f").join(sizes.alias("s"), F.col("f.host").eqNullSafe(F.col("s.host")))
-    above = above.where(F.col("n") > max_share * F.col("documents"))
-    return written(above.groupBy("f.host").agg(F.collect_set("key").alias("flags")).select(F.col("host"), "flags"), "flags")
+    lines = lines.select("host", F.filter(F.array_distinct("lines"), lambda x: x != "").alias("lines")).where("size(lines) > 0")
+    lines = lines.select("host", F.transform("lines", lambda x: F.xxhash64(x)).alias("keys"), F.transform("lines", lambda x: F.char_length(x)).alias("widths"))
+    lines = written(lines.select("host", F.xxhash64(F.sort_array("keys")).alias("document"), "keys", "widths"), "lines")
+
+    def counted(documents: DataFrame) -> DataFrame:
+        keys = documents.select("host", "document", F.explode("keys").alias("key"))
+        return keys.groupBy("host", "key").agg(F.count_distinct("document").alias("n"))
+
+    def sizes(documents: DataFrame) -> DataFrame:
+        return documents.groupBy("host").agg(F.count_distinct("document").alias("documents"))
+
+    shared = _above(counted(lines), sizes(lines), min_documents, max_share, "shared").withColumnRenamed("host", "__host")
+    folded = lines.join(shared, F.col("host").eqNullSafe(F.col("__host"))).drop("__host")
+    own = F.zip_with("keys", "widths", lambda k, w: F.when(F.array_contains("shared", k), 0).otherwise(w))
+    total = lambda widths: F.aggregate(widths, F.lit(0).cast("bigint"), lambda n, w: n + w)
+    common = F.array_intersect("keys", "shared")
+    near = (total(own) < min_left * total(F.col("widths"))) & (F.size(common) > 0)
+    # struct: a folded document never meets the hash of a whole one
+    document = F.struct(near.alias("near"), F.when(near, F.array_min(common)).otherwise(F.col("document")).alias("hash"))
+    folded = folded.select("host", document.alias("document"), common.alias("keys"))
+    return _above(counted(folded), sizes(folded), min_documents, max_share, "flags")
 
 
 def judge(
@@ -146,7 +168,7 @@ def judge(
     ``kept`` is false where the base rule fails or less than ``min_left`` of the words
     is left. Columns of these names in the input are replaced.
     """
-    flags = frequent_lines(df, text, host, min_documents, max_share).select(F.col("host").alias("__host"), F.col("flags").alias("__flags"))
+    flags = frequent_lines(df, text, host, min_documents, max_share, min_left).select(F.col("host").alias("__host"), F.col("flags").alias("__flags"))
     added = ("left_words", "left_text", "kept")
     out = measure(df, text).drop(*added)
     out = out.join(flags, F.col(host).eqNullSafe(F.col("__host")), "left").drop("__host")

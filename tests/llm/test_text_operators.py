@@ -1,6 +1,7 @@
 """Quality, mixing, fingerprints, pseudonyms, licenses and languages on small tables."""
 
 import datetime
+import hashlib
 import random
 import re
 import string
@@ -59,6 +60,17 @@ def test_frequent_lines_go_and_depleted_documents_are_rejected(documents):
     assert found[400].kept
 
 
+def test_furniture_of_the_smallest_digest_goes_and_near_copies_stay(documents):
+    smallest = min((f"menu {made(i, 3)}" for i in range(20_000)), key=lambda x: hashlib.md5(x.encode()).digest())
+    menu = "\n".join([smallest, *[f"Menu {made(9000 + i, 3)}" for i in range(10)]])
+    pages = [(i, f"{menu}\n{made(i, 70)}", "shop") for i in range(40)]
+    lines = [made(800 + i, 12) for i in range(20)]
+    near = [(500 + i, "\n".join(made(2000 + i, 12) if j == i % 20 else x for j, x in enumerate(lines)), "copied") for i in range(60)]
+    found = {r.doc_id: r for r in quality.judge(documents(*pages, *near)).collect()}
+    assert all(found[i].left_words == 70 and found[i].kept for i in range(40))
+    assert all(found[500 + i].left_words == 240 and found[500 + i].kept for i in range(60))
+
+
 def test_odd_rows_do_not_break_quality(documents):
     found = quality.judge(documents(*ODD, extra=("kept", "__flags2"))).collect()
     assert len(found) == len(ODD) and not any(r.kept for r in found)
