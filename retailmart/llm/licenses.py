@@ -100,13 +100,24 @@ def scan(df: DataFrame, text: str = "text") -> DataFrame:
     out = df.select(*columns, F.when(filled(text).rlike(signs), filled(text)).alias("__text"))
 
     def pieces(pattern: str) -> Column:
-        return F.filter(F.split(F.col("__text"), pattern, -1), lambda x: x.rlike(signs))
+        texts, gaps = F.split(F.col("__text"), pattern, -1), F.regexp_extract_all("__text", F.lit(pattern), F.lit(0))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<at:int,end:int,name:string>>").alias("found"))
+
+        def placed(state: Column, x: Column) -> Column:
+            name = F.when(x["text"].rlike(signs), F.element_at(known, normal_form(x["text"])))
+            first = state["at"] + F.char_length(x["text"]) - F.char_length(F.regexp_replace(x["text"], r"^[^\p{L}\p{N}]+", ""))
+            last = first + F.char_length(F.regexp_replace(x["text"], r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]++$", ""))
+            here = F.array(F.struct(first.alias("at"), last.alias("end"), name.alias("name")))
+            after = state["at"] + F.char_length(x["text"]) + F.coalesce(F.char_length(x["gap"]), F.lit(0))
+            return F.struct(after.alias("at"), F.when(name.isNotNull(), F.concat(state["found"], here)).otherwise(state["found"]).alias("found"))
+
+        return F.aggregate(F.zip_with(texts, gaps, lambda a, b: F.struct(a.alias("text"), b.alias("gap"))), start, placed, lambda s: s["found"])
 
     # A line is looked at by itself as well: a notice on its own line may follow one without a full stop.
-    long = F.filter(pieces(ENDS), lambda x: ~F.array_contains(F.split("__text", "\n", -1), x))
-    out = out.select(*columns, "__text", F.concat(pieces("\n"), long).alias("__pieces"))
-    placed = F.transform("__pieces", lambda x, i: F.struct(F.instr(F.col("__text"), x).alias("at"), i.alias("i"), F.element_at(known, normal_form(x)).alias("name")))
-    out = out.select(*columns, F.sort_array(F.filter(placed, lambda x: x["name"].isNotNull())).alias("__placed"))
+    # Each piece is placed by the lengths of what stands before it; of pieces within each other the longest counts.
+    out = out.select(*columns, F.concat(pieces("\n"), pieces(ENDS)).alias("__pieces"))
+    apart = F.filter("__pieces", lambda x: ~F.exists("__pieces", lambda y: (y["at"] <= x["at"]) & (y["end"] >= x["end"]) & (y["end"] - y["at"] > x["end"] - x["at"])))
+    out = out.select(*columns, F.sort_array(F.array_distinct(apart)).alias("__placed"))
     names = F.coalesce(F.transform("__placed", lambda x: x["name"]), F.array().cast("array<string>"))
     out = out.select(*columns, names.alias("license_sentences"))
     # <a><b>: a used sequence becomes a dot, which keeps its neighbours apart

@@ -231,6 +231,22 @@ def test_licenses(documents):
     assert licenses.scan(documents().limit(0)).count() == 0
 
 
+BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n\n"
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.\n"
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer\n"
+    "in the documentation and/or other materials provided with the distribution.\n"
+)
+
+
+def test_repeated_notices_keep_their_order(documents):
+    again = "All rights reserved under law.\nAll rights reserved.\nReleased under the MIT License."
+    got = {r.doc_id: r for r in licenses.scan(documents((1, f"{BSD}\nint a;\n\n{BSD}"), (2, again))).collect()}
+    assert got[1].license_sentences == ["bsd-grant", "bsd-source", "bsd-binary"] * 2
+    assert (got[1].licenses, got[1].unmatched) == (["BSD-2-Clause"], [])
+    assert got[2].license_sentences == ["reserved", "mit-name"]
+
+
 def test_known_sentences_are_in_normal_form_and_carry_a_sign():
     for forms in licenses.SENTENCES.values():
         for form in forms:
