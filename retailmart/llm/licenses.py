@@ -20,9 +20,24 @@ from pyspark.sql import functions as F
 
 from retailmart.llm.text import filled
 
+def _free(what: str, name: str, version: str) -> tuple[str, str]:
+    """The grant of the GNU notices, as one sentence and as what stands after ``free software:``."""
+    grant = (
+        f"you can redistribute it and or modify it under the terms of the {name} as published by the free software foundation "
+        f"either version {version} of the license or at your option any later version"
+    )
+    return f"this {what} is free software {grant}", grant
+
+
+def _creative(kind: str, name: str) -> tuple[str, ...]:
+    """The notices of a Creative Commons license 4.0, by its short and its long name."""
+    long = f"creative commons {name} 4 0 international license"
+    return (f"licensed under cc {kind} 4 0", f"this work is licensed under cc {kind} 4 0", f"this work is licensed under a {long}", f"this work is licensed under the {long}")
+
+
 # fixed values: identifier -> known sentences in normal form (lower case, letters and digits, single blanks)
 SENTENCES = {
-    "mit-name": ("released under the mit license", "licensed under the mit license", "this project is licensed under the mit license"),
+    "mit-name": ("mit license", "the mit license", "the mit license mit", "released under the mit license", "licensed under the mit license", "this project is licensed under the mit license"),
     "mit-grant": (
         "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software "
         "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense "
@@ -31,16 +46,29 @@ SENTENCES = {
     "mit-notice": ("the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",),
     "apache-2-name": ("licensed under the apache license version 2 0", "licensed under the apache license version 2 0 the license", "released under the apache license version 2 0"),
     "apache-comply": ("you may not use this file except in compliance with the license",),
+    "apache-grant": ("licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license",),
     "apache-copy": (
+        "you may obtain a copy of the license at",
+        *(
+            f"you may obtain a copy of the license at {scheme} www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software "
+            "distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied"
+            for scheme in ("http", "https")
+        ),
         "you may obtain a copy of the license at http www apache org licenses license 2 0",
         "you may obtain a copy of the license at https www apache org licenses license 2 0",
     ),
+    "apache-address": ("http www apache org licenses license 2 0", "https www apache org licenses license 2 0"),
     "gpl-2-name": ("this work is licensed under the gnu general public license version 2", "licensed under the gnu general public license version 2"),
     "gpl-3-name": ("this work is licensed under the gnu general public license version 3", "licensed under the gnu general public license version 3"),
-    "gpl-free": (
-        "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license "
-        "as published by the free software foundation either version 3 of the license or at your option any later version",
+    "gpl-free": _free("program", "gnu general public license", "3"),
+    "gpl-2-free": _free("program", "gnu general public license", "2"),
+    "gpl-2-only": tuple(
+        start + "you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation"
+        for start in ("this program is free software ", "")
     ),
+    "lgpl-2.1-free": _free("library", "gnu lesser general public license", "2 1"),
+    "lgpl-3-free": _free("library", "gnu lesser general public license", "3") + _free("program", "gnu lesser general public license", "3")[:1],
+    "agpl-3-free": _free("program", "gnu affero general public license", "3"),
     "bsd-grant": (
         "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
     ),
@@ -54,9 +82,23 @@ SENTENCES = {
         "derived from this software without specific prior written permission",
     ),
     "mpl-2-name": ("this source code form is subject to the terms of the mozilla public license v 2 0",),
-    "cc-by-4-name": ("licensed under cc by 4 0", "this work is licensed under a creative commons attribution 4 0 international license"),
-    "cc-by-sa-4-name": ("licensed under cc by sa 4 0", "this work is licensed under a creative commons attribution sharealike 4 0 international license"),
-    "cc-by-nc-4-name": ("licensed under cc by nc 4 0", "this work is licensed under a creative commons attribution noncommercial 4 0 international license"),
+    "cc-by-4-name": _creative("by", "attribution"),
+    "cc-by-sa-4-name": _creative("by sa", "attribution sharealike"),
+    "cc-by-nc-4-name": _creative("by nc", "attribution noncommercial"),
+    "cc-by-nd-4-name": _creative("by nd", "attribution noderivatives"),
+    "cc-by-nc-sa-4-name": _creative("by nc sa", "attribution noncommercial sharealike"),
+    "cc-by-nc-nd-4-name": _creative("by nc nd", "attribution noncommercial noderivatives"),
+    "isc-grant": (
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+        "provided that the above copyright notice and this permission notice appear in all copies",
+    ),
+    "0bsd-grant": ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",),
+    "zlib-grant": (
+        "permission is granted to anyone to use this software for any purpose including commercial applications "
+        "and to alter it and redistribute it freely subject to the following restrictions",
+    ),
+    "boost-name": ("distributed under the boost software license version 1 0",),
+    "unlicense-refer": ("for more information please refer to http unlicense org", "for more information please refer to https unlicense org"),
     "reserved": ("all rights reserved",),
 }
 # fixed values: ordered rules, special ones first
@@ -64,23 +106,41 @@ RULES = (
     (("mit-grant", "mit-notice"), "MIT"),
     (("mit-grant",), "MIT"),
     (("mit-name",), "MIT"),
+    (("apache-2-name", "apache-comply", "apache-copy", "apache-address"), "Apache-2.0"),
     (("apache-2-name", "apache-comply", "apache-copy"), "Apache-2.0"),
+    (("apache-grant", "apache-copy", "apache-address"), "Apache-2.0"),
+    (("apache-grant", "apache-copy"), "Apache-2.0"),
+    (("apache-grant",), "Apache-2.0"),
     (("apache-2-name",), "Apache-2.0"),
     (("bsd-grant", "bsd-source", "bsd-binary", "bsd-names"), "BSD-3-Clause"),
     (("bsd-grant", "bsd-source", "bsd-binary"), "BSD-2-Clause"),
     (("gpl-free",), "GPL-3.0-or-later"),
+    (("gpl-2-free",), "GPL-2.0-or-later"),
+    (("gpl-2-only",), "GPL-2.0-only"),
+    (("lgpl-2.1-free",), "LGPL-2.1-or-later"),
+    (("lgpl-3-free",), "LGPL-3.0-or-later"),
+    (("agpl-3-free",), "AGPL-3.0-or-later"),
     (("gpl-3-name",), "GPL-3.0-only"),
     (("gpl-2-name",), "GPL-2.0-only"),
     (("mpl-2-name",), "MPL-2.0"),
+    (("cc-by-nc-sa-4-name",), "CC-BY-NC-SA-4.0"),
+    (("cc-by-nc-nd-4-name",), "CC-BY-NC-ND-4.0"),
     (("cc-by-nc-4-name",), "CC-BY-NC-4.0"),
+    (("cc-by-nd-4-name",), "CC-BY-ND-4.0"),
     (("cc-by-sa-4-name",), "CC-BY-SA-4.0"),
     (("cc-by-4-name",), "CC-BY-4.0"),
+    (("isc-grant",), "ISC"),
+    (("0bsd-grant",), "0BSD"),
+    (("zlib-grant",), "Zlib"),
+    (("boost-name",), "BSL-1.0"),
+    (("unlicense-refer",), "Unlicense"),
     (("reserved",), "All-rights-reserved"),
 )
 # fixed values: each known sentence contains one of these words
 SIGNS = ("licen[sc]e", "permission", "redistribut", "rights reserved", "under cc")
 
-ENDS = r"(?<=[.!?:])[\"')\]]*\s+|\n\s*\n"
+# no sentence ends after the v. of a version
+ENDS = r"(?<=[.!?:])(?<!\b[vV]\.)[\"')\]]*\s+|\n\s*\n"
 
 
 def normal_form(text: Column) -> Column:

@@ -5,6 +5,7 @@ import hashlib
 import random
 import re
 import string
+import textwrap
 from collections import Counter
 
 import pytest
@@ -247,6 +248,38 @@ def test_repeated_notices_keep_their_order(documents):
     assert got[2].license_sentences == ["reserved", "mit-name"]
 
 
+def gnu(what, name, version, mark=";"):
+    return (
+        f"This {what} is free software{mark} you can redistribute it and/or modify it under the terms of the {name} as published by the "
+        f"Free Software Foundation{',' if mark == ':' else ';'} either version {version} of the License, or (at your option) any later version."
+    )
+
+
+ISC = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"
+HEADERS = {
+    "Apache-2.0": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
+    "You may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software "
+    'distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.',
+    "GPL-3.0-or-later": gnu("program", "GNU General Public License", "3", ":"), "GPL-2.0-or-later": gnu("program", "GNU General Public License", "2"),
+    "LGPL-2.1-or-later": gnu("library", "GNU Lesser General Public License", "2.1"), "LGPL-3.0-or-later": gnu("library", "GNU Lesser General Public License", "3", ":"),
+    "AGPL-3.0-or-later": gnu("program", "GNU Affero General Public License", "3", ":"),
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, "
+    "You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "CC-BY-SA-4.0": "This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 International License.",
+    "CC-BY-NC-ND-4.0": "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License.",
+    "ISC": f"{ISC}, provided that the above copyright notice and this permission notice appear in all copies.", "0BSD": f"{ISC}.", "BSD-2-Clause": BSD,
+    "Unlicense": "For more information, please refer to <https://unlicense.org>",
+}
+
+
+def test_published_headers_wrapped_and_in_one_line(documents):
+    wrapped = ["\n\n".join(textwrap.fill(p, 70) for p in text.split("\n\n")) for text in HEADERS.values()]
+    rows = [*enumerate(wrapped), *[(100 + i, " ".join(t.split())) for i, t in enumerate(HEADERS.values())]]
+    got = {r.doc_id: r for r in licenses.scan(documents(*rows)).collect()}
+    for i, name in enumerate(HEADERS):
+        assert [(got[k].licenses, got[k].unmatched) for k in (i, 100 + i)] == [([name], [])] * 2, name
+
+
 def test_known_sentences_are_in_normal_form_and_carry_a_sign():
     for forms in licenses.SENTENCES.values():
         for form in forms:
