@@ -32,10 +32,12 @@ PATTERNS = {
     "ip": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)",
     "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\d]|[./-]\d)",
     "phone": r"(?<![\d\p{L}+])(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}|\(\d{3}\) ?\d{3}[ -]\d{4}|\d{3}-\d{3}-\d{4})(?![\d]|-\d)",
-    "card": r"(?<![\d])\d(?:[ -]?\d){12,18}(?!\d)",
+    "card": r"(?<![\d])\d(?:[ -]?\d){12,}+",  # a run of numbers, in which cards are looked for
 }
 KINDS = tuple(PATTERNS)
-ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+ANY = "|".join(f"(?:{p})" for k, p in PATTERNS.items() if k != "card")
+# the usual groups of a card are tried before any others
+USUAL = r"^(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}([ -])\d{6}\2\d{5})$"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -198,7 +200,6 @@ def _dated(m: Column, day: Column) -> Column:
 
 def kind_of(m: Column) -> Column:
     """The kind of a match after validation, NULL if it is nothing personal."""
-    digits = _digits(m)
     octets = F.transform(F.split(m, r"\."), lambda x: x.cast("int"))
     return (
         F.when(m.contains("@"), F.lit("email"))
@@ -206,10 +207,72 @@ def kind_of(m: Column) -> Column:
         .when(m.rlike(f"^(?:{PATTERNS['ip']})$"), F.when(F.forall(octets, lambda x: x <= 255), F.lit("ip")))
         .when(m.rlike(f"^(?:{PATTERNS['date']})$"), F.when(_day(m).isNotNull(), F.lit("date")))
         .when(m.rlike(f"^(?:{PATTERNS['phone']})$"), "phone")
-        .when(F.size(digits).between(13, 19) & (_check_sum(digits, 1) % 10 == 0) & (F.array_max(digits) > 0), "card")
     )
 
 
+def _plain(text: Column) -> Column:
+    return F.struct(text.alias("was"), F.lit(None).cast("string").alias("kind"))
+
+
+def _cards(run: Column) -> Column:
+    """A run of numbers as pieces ``(was, kind)``: its cards, and what stands between.
+
+    Any 13 to 19 digits that begin and end with a number of the run and have a valid check
+    digit are a card; where several overlap, usual groups go first, then the earliest and shortest.
+    """
+
+    def ends(numbers: Column) -> Column:
+        start = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<at:int,size:int>>").alias("all"))
+
+        def put(state: Column, x: Column) -> Column:
+            here = F.array(F.struct(state["at"].alias("at"), F.char_length(x).alias("size")))
+            return F.struct((state["at"] + F.char_length(x) + 1).alias("at"), F.concat(state["all"], here).alias("all"))
+
+        return F.aggregate(numbers, start, put, lambda state: state["all"])
+
+    def windows(numbers: Column) -> Column:
+        def of(a: Column, i: Column) -> Column:
+            def window(b: Column) -> Column:
+                was = F.substr(run, a["at"], b["at"] + b["size"] - a["at"])
+                return F.struct(F.when(was.rlike(USUAL), 0).otherwise(1).alias("rank"), a["at"].alias("at"), F.char_length(was).alias("size"), was.alias("was"))
+
+            return F.filter(F.transform(F.slice(numbers, i + 1, F.lit(19)), window), lambda w: w["was"].rlike(r"^(?:[ -]?\d){13,19}$"))
+
+        return F.flatten(F.transform(numbers, of))
+
+    def valid(w: Column) -> Column:
+        return _let(_digits(w["was"]), lambda d: (_check_sum(d, 1) % 10 == 0) & (F.array_max(d) > 0))
+
+    def chosen(found: Column) -> Column:
+        start = F.array().cast("array<struct<at:int,size:int,was:string>>")
+
+        def put(state: Column, w: Column) -> Column:
+            meets = F.exists(state, lambda c: (c["at"] < w["at"] + w["size"]) & (w["at"] < c["at"] + c["size"]))
+            return F.when(meets, state).otherwise(F.concat(state, F.array(F.struct(w["at"].alias("at"), w["size"].alias("size"), w["was"].alias("was")))))
+
+        return F.array_sort(F.aggregate(F.array_sort(found), start, put))
+
+    def pieces(cards: Column) -> Column:
+        def before(c: Column, i: Column) -> Column:
+            last = F.get(cards, i - 1)
+            at = F.coalesce(last["at"] + last["size"], F.lit(1))
+            return F.array(_plain(F.substr(run, at, c["at"] - at)), F.struct(c["was"].alias("was"), F.lit("card").alias("kind")))
+
+        last = F.get(cards, F.size(cards) - 1)
+        at = F.coalesce(last["at"] + last["size"], F.lit(1))
+        return F.concat(F.flatten(F.transform(cards, before)), F.array(_plain(F.substr(run, at, F.char_length(run)))))
+
+    found = _let(_let(F.split(run, "[ -]"), ends), windows)
+    return _let(_let(F.filter(found, valid), chosen), pieces)
+
+
+def _split_cards(text: Column) -> Column:
+    """A text between other findings as pieces ``(was, kind)``."""
+    runs = F.transform(F.regexp_extract_all(text, F.lit(PATTERNS["card"]), F.lit(0)), _cards)
+    gaps = F.transform(F.split(text, PATTERNS["card"], -1), lambda x: F.array(_plain(x)))
+    return F.flatten(F.zip_with(gaps, runs, lambda a, b: F.concat(a, F.coalesce(b, F.array().cast("array<struct<was:string,kind:string>>")))))
+
+
 def pseudonym(m: Column, kind: Column, key: str) -> Column:
     made = {"email": _email, "secret": _secret, "ip": _ip, "date": _date, "phone": _phone, "card": _card}
     out = F.lit(None).cast("string")
@@ -227,12 +290,14 @@ def pseudonymize(df: DataFrame, key: str, text: str = "text") -> DataFrame:
     columns = [c for c in df.columns if c not in counts]
     out = df.select(*columns, F.when(F.col(text).rlike("[0-9@]|[0-9a-fA-F]{32}"), F.col(text)).alias("__text"))
     out = out.select(*columns, F.regexp_extract_all("__text", F.lit(ANY), F.lit(0)).alias("__found"), F.split("__text", ANY, -1).alias("__between"))
-    found = F.transform("__found", lambda m: F.struct(m.alias("was"), kind_of(m).alias("kind")))
-    out = out.select(*columns, "__between", F.when(F.size("__found") > 0, found).alias("__found"))
-    now = F.transform("__found", lambda x: F.when(x["kind"].isNull(), x["was"]).otherwise(pseudonym(x["was"], x["kind"], key)))
-    out = out.select(*columns, "__between", F.col("__found.kind").alias("__kinds"), now.alias("__now"))
-    joined = F.concat_ws("", F.flatten(F.zip_with("__between", "__now", lambda a, b: F.array(a, F.coalesce(b, F.lit(""))))))
-    new = F.when(F.col("__now").isNotNull(), joined).otherwise(F.col(text))
+    found = F.transform("__found", lambda m: F.array(F.struct(m.alias("was"), kind_of(m).alias("kind"))))
+    between = F.transform("__between", _split_cards)
+    parts = F.flatten(F.zip_with(between, found, lambda a, b: F.concat(a, F.coalesce(b, F.array().cast("array<struct<was:string,kind:string>>")))))
+    out = out.select(*columns, parts.alias("__parts"))
+    out = out.select(*columns, F.when(F.exists("__parts", lambda x: x["kind"].isNotNull()), F.col("__parts")).alias("__parts"))
+    now = F.transform("__parts", lambda x: F.when(x["kind"].isNull(), x["was"]).otherwise(pseudonym(x["was"], x["kind"], key)))
+    out = out.select(*columns, F.col("__parts.kind").alias("__kinds"), now.alias("__now"))
+    new = F.when(F.col("__now").isNotNull(), F.concat_ws("", "__now")).otherwise(F.col(text))
 
     def number(kind: str) -> Column:
         return F.when(F.col("__kinds").isNull(), 0).otherwise(F.size(F.filter("__kinds", lambda k: k == kind))).cast("bigint")

@@ -187,6 +187,16 @@ def test_pseudonyms_keep_their_format_and_link(documents):
     assert other != got[1].text
 
 
+def test_cards_beside_other_numbers(documents):
+    card = "4111 1111 1111 1111"
+    texts = [card, f"{card} 123", f"{card} 12/25", f"order 12 {card}", f"id 123456 {card}", f"{card} 4737-0976-8429-9439", f"{card} 2021-02-28", "1234567 743-555-3824"]
+    got = {r.doc_id: r for r in pii.pseudonymize(documents(*enumerate(texts)), "k").collect()}
+    new = got[0].text
+    assert [got[i].text for i in range(1, 5)] == [f"{new} 123", f"{new} 12/25", f"order 12 {new}", f"id 123456 {new}"]
+    assert [got[i].n_card for i in range(8)] == [1, 1, 1, 1, 1, 2, 1, 0] and new != card
+    assert got[5].text.startswith(new) and "4737" not in got[5].text and got[6].n_date == 1 and got[7].n_phone == 1
+
+
 def test_clean_text_stays(documents):
     clean = ["Version 1.2.3 of 2021, 4737097684299430", "2021-02-30 and 1/2/99 and 31.2.2020", "300.1.1.1", "a@b and @c", "", None, LONG, "12345678901234567890", "0000000000000000", "\n x \t"]
     got = {r.doc_id: r for r in pii.pseudonymize(documents(*enumerate(clean), extra=("n_card", "kind")), "k").collect()}
