@@ -110,4 +110,39 @@ select doc_id, size, source_size, target, cast(floor(upto) - floor(upto - share)
   cast(floor(upto) - floor(upto - share) as bigint) * size as taken
 from summed"""
 
-ORACLE = {"op1_chat": CHAT, "op5_quality": QUALITY, "op9_warc": WARC, "op10_mixing": MIXING}
+# the checksum bit by bit, as the database has no function for it
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::bigint, list_transform(string_split({}, ''), lambda x: ascii(x)::bigint)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda v, i: case when v & 1 = 1 then xor(v >> 1, 3988292384) else v >> 1 end)), 4294967295)"""
+TRIE = f"""with turns as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) - 1 as place,
+    coalesce(role, '') as role, coalesce(text, '') as text
+  from conversations where conv_id is not null
+),
+convs as (select conv_id, conv_id - conv_id % 100 as base, {_CRC32.format("cast(conv_id as varchar)")} % 6 as h from (select distinct conv_id from turns)),
+rebuilt as (
+  select conv_id, place, role, text from turns join convs using (conv_id) where place >= h
+  union all select c.conv_id, t.place, t.role, t.text from convs c join turns t on t.conv_id = c.base and t.place < c.h
+),
+named as (select conv_id, row_number() over (partition by conv_id order by place) as depth, length(text) as long, sha256(length(role) || ':' || role || text) as name from rebuilt),
+paths as (
+  select conv_id, depth, long, array_to_string(list(name) over (partition by conv_id order by depth rows unbounded preceding), '/') as path,
+    array_to_string(list(name) over (partition by conv_id order by depth rows between unbounded preceding and 1 preceding), '/') as parent
+  from named
+  union all select conv_id, 0, 0, '', null from convs
+),
+members as (select *, max(depth) over (partition by conv_id) as n from paths),
+nodes as (
+  select coalesce(path, '') as path, any_value(case when depth > 0 then coalesce(parent, '') end) as parent, min(conv_id) as conv_id, any_value(depth) as depth, any_value(long) as long,
+    count(*) as n_convs, sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where depth = n), '')) as ends_sha256
+  from members group by path
+),
+children as (select parent as path, count(*) as n_children from nodes where parent is not null group by parent),
+below as (
+  select m.path, cast(sum((x.n_convs - 1) * x.long) as bigint) as saved_tokens, count(*) filter (where c.path is null) as n_leaves
+  from nodes x join members m on m.conv_id = x.conv_id and m.depth <= x.depth left join children c on c.path = x.path
+  group by m.path
+)
+select x.conv_id, cast(x.depth as bigint) as depth, p.conv_id as parent_conv_id, x.n_convs, coalesce(c.n_children, 0) as n_children, b.n_leaves, b.saved_tokens, x.ends_sha256
+from nodes x join below b on b.path = x.path left join children c on c.path = x.path left join nodes p on p.path = x.parent"""
+
+ORACLE = {"op1_chat": CHAT, "op5_quality": QUALITY, "op9_warc": WARC, "op10_mixing": MIXING, "op13_trie": TRIE}

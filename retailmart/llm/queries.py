@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from retailmart.llm import chat, langid, licenses, minhash, mixing, pii, quality, segment, simhash, warc
+from retailmart.llm import chat, langid, licenses, minhash, mixing, pii, quality, segment, simhash, trie, warc
 from retailmart.llm.follow import followed
 from retailmart.llm.oracle import ORACLE  # noqa: F401
 from retailmart.llm.text import filled
@@ -121,6 +121,20 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix tree of all conversations, each begun by the first turns of the one that its hundred starts with."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", filled("role").alias("role"), filled("text").alias("text"))
+    order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
+    borrowed = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    placed = rows.where("conv_id is not null").withColumn("at", F.row_number().over(order) - 1)
+    own = placed.where(F.col("at") >= borrowed).select("conv_id", "at", "role", "text")
+    heads = placed.where("conv_id % 100 = 0 and at < 5").select(F.col("conv_id").alias("base"), "at", "role", "text")
+    members = rows.where("conv_id is not null").select("conv_id").distinct()
+    begun = members.withColumn("base", F.expr("conv_id - conv_id % 100")).join(heads, "base").where(F.col("at") < borrowed)
+    rebuilt = own.unionByName(begun.select("conv_id", "at", "role", "text"))
+    return trie.prefix_tree(rebuilt, members, turn="at").drop("node", "parent")
+
+
 QUERIES = {
     "op1_chat": op1_chat,
     "op2_simhash": op2_simhash,
@@ -132,4 +146,5 @@ QUERIES = {
     "op8_pieces": op8_pieces,
     "op9_warc": op9_warc,
     "op10_mixing": op10_mixing,
+    "op13_trie": op13_trie,
 }
