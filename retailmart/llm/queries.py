@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from retailmart.llm import chat, langid, licenses, minhash, mixing, pii, quality, segment, simhash, trie, warc
+from retailmart.llm import chat, langid, licenses, minhash, mixing, packing, pii, quality, segment, simhash, trie, warc
 from retailmart.llm.follow import followed
 from retailmart.llm.oracle import ORACLE  # noqa: F401
 from retailmart.llm.text import filled
@@ -121,6 +121,18 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def byte_vocabulary(folder: str = TOKENIZERS) -> tuple[bytes, bytes]:
+    """The byte-level vocabulary as ranks and its definition, two megabytes that travel to the tasks with their function."""
+    with open(f"{folder}/byte_bpe_50k.tiktoken", "rb") as ranks, open(f"{folder}/byte_bpe_50k.json", "rb") as definition:
+        return ranks.read(), definition.read()
+
+
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of at most 2048 tokens, packed into sequences."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(packing.token_pieces(docs, *byte_vocabulary()))
+
+
 def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The prefix tree of all conversations, each begun by the first turns of the one that its hundred starts with."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", filled("role").alias("role"), filled("text").alias("text"))
@@ -146,5 +158,6 @@ QUERIES = {
     "op8_pieces": op8_pieces,
     "op9_warc": op9_warc,
     "op10_mixing": op10_mixing,
+    "op11_packing": op11_packing,
     "op13_trie": op13_trie,
 }
