@@ -145,4 +145,21 @@ below as (
 select x.conv_id, cast(x.depth as bigint) as depth, p.conv_id as parent_conv_id, x.n_convs, coalesce(c.n_children, 0) as n_children, b.n_leaves, b.saved_tokens, x.ends_sha256
 from nodes x join below b on b.path = x.path left join children c on c.path = x.path left join nodes p on p.path = x.parent"""
 
-ORACLE = {"op1_chat": CHAT, "op5_quality": QUALITY, "op9_warc": WARC, "op10_mixing": MIXING, "op13_trie": TRIE}
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_TERMS = rf"unnest(regexp_extract_all(translate(text, '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))"
+SEARCH = f"""with words as (select doc_id, {_TERMS} as term from documents),
+held as (select doc_id, term, count(*) as tf from words group by doc_id, term),
+lengths as (select doc_id, count(*) as n from words group by doc_id),
+sizes as (select count(*) as documents, cast(sum(n) as bigint) as total from lengths),
+weights as (
+  select term, cast(floor(1000 * ln((2 * any_value(documents) + 2) / (2 * count(*) + 1))) as bigint) as w from held, sizes group by term
+),
+asked as (select item_id, term, count(*) as times from (select item_id, {_TERMS} as term from benchmark) group by item_id, term),
+scored as (
+  select item_id, doc_id, cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * documents) // total)))) as bigint) as score
+  from asked join weights using (term) join held using (term) join lengths using (doc_id), sizes group by item_id, doc_id
+),
+ranked as (select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as integer) as rank, doc_id, score from scored where score > 0)
+select * from ranked where rank <= 10"""
+
+ORACLE = {"op1_chat": CHAT, "op5_quality": QUALITY, "op9_warc": WARC, "op10_mixing": MIXING, "op12_search": SEARCH, "op13_trie": TRIE}

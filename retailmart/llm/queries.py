@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from retailmart.llm import chat, langid, licenses, minhash, mixing, packing, pii, quality, segment, simhash, trie, warc
+from retailmart.llm import chat, langid, licenses, minhash, mixing, packing, pii, quality, search, segment, simhash, trie, warc
 from retailmart.llm.follow import followed
 from retailmart.llm.oracle import ORACLE  # noqa: F401
 from retailmart.llm.text import filled
@@ -133,6 +133,12 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.token_pieces(docs, *byte_vocabulary()))
 
 
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return search.search(docs, items)
+
+
 def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The prefix tree of all conversations, each begun by the first turns of the one that its hundred starts with."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", filled("role").alias("role"), filled("text").alias("text"))
@@ -159,5 +165,6 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_mixing": op10_mixing,
     "op11_packing": op11_packing,
+    "op12_search": op12_search,
     "op13_trie": op13_trie,
 }
