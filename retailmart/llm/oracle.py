@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from retailmart.llm.chat import CHATML
 from retailmart.llm.mixing import MOST, WEIGHTS
-from retailmart.llm.quality import MAX_REPEAT_PERCENT, MAX_SHARE, MIN_DOCUMENTS, MIN_LEFT, MIN_WORDS
+from retailmart.llm.quality import MAX_DOCUMENTS, MAX_REPEAT_PERCENT, MIN_LEFT, MIN_WORDS
 
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 HARD = "<|im_end|><|im_start|>assistant ok"
@@ -40,11 +40,9 @@ lines as (
   from docs
 ),
 normal_lines as (select distinct doc_id, source, trim(normal) as normal from lines where trim(normal) <> ''),
-signed as (select *, min(md5(normal)) over (partition by doc_id) as signature from normal_lines),
-hosts as (select source, count(distinct signature) as documents from signed group by source),
+documents_of as (select doc_id, md5(string_agg(normal, chr(10) order by normal)) as document from normal_lines group by doc_id),
 flagged as (
-  select source, normal from (select source, normal, count(distinct signature) as n from signed group by source, normal) f
-  where n > {MIN_DOCUMENTS} and n > {MAX_SHARE} * (select documents from hosts h where h.source is not distinct from f.source)
+  select source, normal from normal_lines join documents_of using (doc_id) group by source, normal having count(distinct document) > {MAX_DOCUMENTS}
 ),
 line_counts as (
   select doc_id, cast(count(*) filter (where filled) - count(distinct line) filter (where filled) as bigint) as n_dup_lines,

@@ -1,21 +1,16 @@
 """Quality rules: text measures per document and line frequency across the documents of a host.
 
 Lines are compared by their normal form: lower case, every digit as 0, blanks
-collapsed. A line that stands in too many documents of its host is page furniture
+collapsed. A line that stands in more than a limit of distinct documents of its host is page furniture
 and is removed; a document that consists mostly of such lines is rejected.
 
-Lines are counted in distinct documents, each known by a hash of all its lines, so
-exact copies count once and unrelated documents never fold. Lines above the limits by
-that count are candidates. Near copies must not turn their own lines into furniture:
-a document that would keep too little without the candidates counts under the smallest
-candidate it holds, which near copies mostly share, and the candidates are counted again.
-A line thus needs documents with enough text beside the candidates to become furniture; pages
-that have less cannot be told from near copies of each other.
+Distinct documents are those that differ in the set of their lines, so exact copies count once. Near copies are
+distinct documents: where a host has more of them than the limit, the lines they share go. Finding
+near copies is the business of another operator; remove them first where they are to count once.
 
-A candidate covers a fixed share of its host's documents, so the candidates
-of a host are few whatever the host holds: about the lines of a document divided by
-that share. They travel as one array per host, and every document is judged in its
-own row, without exploding its lines a second time or moving its text by document.
+The limit is a number of documents, whatever the host holds. Flagged lines are rows of ``(host, line)``, joined to the
+lines of the documents, and a document's flagged lines come back to it as one row. Lines are counted
+inside the tasks before they are shuffled, and equal texts are one row until then.
 
 Defined results: NULL text counts as empty; an empty text has no words and fails
 the base rule; rows with NULL host form one host; repeated rows are judged alike
@@ -28,13 +23,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from retailmart.llm.text import BLANKS, filled, words
+from retailmart.llm.text import WORD, filled, words
 from retailmart.sources.scratch import written
 
 MIN_WORDS = 50  # base rule: fewer words fail
 MAX_REPEAT_PERCENT = 50  # base rule: more words in repeated three-word windows fail
-MIN_DOCUMENTS = 10  # a line in at most so many documents of its host stays
-MAX_SHARE = 0.1  # and one in at most this share of them
+MAX_DOCUMENTS = 20  # a line in more documents of its host goes
 MIN_LEFT = 0.3  # a document must keep this share of its words
 SYMBOLS = "[#*$%&|<>]"
 
@@ -120,68 +114,54 @@ def normal_lines(text: Column) -> Column:
     return F.transform(F.split(plain, "\n", -1), lambda x: F.trim(x))
 
 
-def _above(counted: DataFrame, sizes: DataFrame, min_documents: int, max_share: float, name: str) -> DataFrame:
-    """``(host, <name>)``: per host with any, the keys counted above both limits, as a written table."""
-    above = counted.where(F.col("n") > min_documents).alias("f").join(sizes.alias("s"), F.col("f.host").eqNullSafe(F.col("s.host")))
-    above = above.where(F.col("n") > max_share * F.col("documents"))
-    return written(above.groupBy("f.host").agg(F.collect_set("key").alias(name)).select(F.col("host"), name), name)
-
-
-def frequent_lines(
-    df: DataFrame, text: str = "text", host: str = "source", min_documents: int = MIN_DOCUMENTS, max_share: float = MAX_SHARE, min_left: float = MIN_LEFT
-) -> DataFrame:
-    """``(host, flags)``: per host with any, the keys of lines above both limits, as a written table."""
-    lines = df.select(F.col(host).alias("host"), normal_lines(filled(text)).alias("lines"))
-    lines = lines.select("host", F.filter(F.array_distinct("lines"), lambda x: x != "").alias("lines")).where("size(lines) > 0")
-    lines = lines.select("host", F.transform("lines", lambda x: F.xxhash64(x)).alias("keys"), F.transform("lines", lambda x: F.char_length(x)).alias("widths"))
-    lines = written(lines.select("host", F.xxhash64(F.sort_array("keys")).alias("document"), "keys", "widths"), "lines")
-
-    def counted(documents: DataFrame) -> DataFrame:
-        keys = documents.select("host", "document", F.explode("keys").alias("key"))
-        return keys.groupBy("host", "key").agg(F.count_distinct("document").alias("n"))
-
-    def sizes(documents: DataFrame) -> DataFrame:
-        return documents.groupBy("host").agg(F.count_distinct("document").alias("documents"))
-
-    shared = _above(counted(lines), sizes(lines), min_documents, max_share, "shared").withColumnRenamed("host", "__host")
-    folded = lines.join(shared, F.col("host").eqNullSafe(F.col("__host"))).drop("__host")
-    own = F.zip_with("keys", "widths", lambda k, w: F.when(F.array_contains("shared", k), 0).otherwise(w))
-    total = lambda widths: F.aggregate(widths, F.lit(0).cast("bigint"), lambda n, w: n + w)
-    common = F.array_intersect("keys", "shared")
-    near = (total(own) < min_left * total(F.col("widths"))) & (F.size(common) > 0)
-    # struct: a folded document never meets the hash of a whole one
-    document = F.struct(near.alias("near"), F.when(near, F.array_min(common)).otherwise(F.col("document")).alias("hash"))
-    folded = folded.select("host", document.alias("document"), common.alias("keys"))
-    return _above(counted(folded), sizes(folded), min_documents, max_share, "flags")
-
-
-def judge(
-    df: DataFrame,
-    text: str = "text",
-    host: str = "source",
-    min_documents: int = MIN_DOCUMENTS,
-    max_share: float = MAX_SHARE,
-    min_left: float = MIN_LEFT,
-) -> DataFrame:
+def _identity(text: str) -> list[Column]:
+    """Two independent hashes that stand for a whole text."""
+    return [F.xxhash64(filled(text)).alias("__first"), F.xxhash64(F.lit("other"), filled(text)).alias("__second")]
+
+
+def text_lines(df: DataFrame, text: str = "text", host: str = "source") -> DataFrame:
+    """``(host, __first, __second, keys, lines)`` per distinct text of a host, as a written table.
+
+    ``keys`` are the distinct keys of its lines; ``lines`` has every line that is not blank with its key and number of words.
+    """
+    rows = df.select(F.col(host).alias("host"), *_identity(text), F.split(filled(text), "\n", -1).alias("plain"), normal_lines(filled(text)).alias("normal"))
+    line = F.zip_with("plain", "normal", lambda x, y: F.when(y != "", F.struct(F.xxhash64(y).alias("key"), F.regexp_count(x, F.lit(WORD)).cast("bigint").alias("words"))))
+    rows = rows.select("host", "__first", "__second", F.filter(line, lambda x: x.isNotNull()).alias("lines")).where("size(lines) > 0")
+    rows = rows.dropDuplicates(["host", "__first", "__second"])
+    return written(rows.select("*", F.array_sort(F.array_distinct(F.col("lines.key"))).alias("keys")), "lines")
+
+
+def frequent_lines(lines: DataFrame, max_documents: int = MAX_DOCUMENTS) -> DataFrame:
+    """``(host, key, documents)`` of the lines in more than ``max_documents`` distinct documents of their host, as a written table."""
+    documents = lines.select("host", "keys").withColumn("set", F.xxhash64("keys")).dropDuplicates(["host", "set"])
+    counted = documents.select("host", F.explode("keys").alias("key")).groupBy("host", "key").agg(F.count("*").alias("documents"))
+    return written(counted.where(F.col("documents") > max_documents), "frequent")
+
+
+def judge(df: DataFrame, text: str = "text", host: str = "source", max_documents: int = MAX_DOCUMENTS, min_left: float = MIN_LEFT) -> DataFrame:
     """All rows with their measures, ``left_words``, ``left_text`` without the flagged lines, and ``kept``.
 
     ``kept`` is false where the base rule fails or less than ``min_left`` of the words
     is left. Columns of these names in the input are replaced.
     """
-    flags = frequent_lines(df, text, host, min_documents, max_share, min_left).select(F.col("host").alias("__host"), F.col("flags").alias("__flags"))
+    lines = text_lines(df, text, host)
+    frequent = frequent_lines(lines, max_documents).select(F.col("host").alias("__of"), F.col("key").alias("__key"))
+    spread = lines.select("host", "__first", "__second", F.inline("lines"))
+    lost = spread.join(frequent, F.col("host").eqNullSafe(F.col("__of")) & (F.col("key") == F.col("__key")))
+    lost = lost.groupBy(F.col("host").alias("__host"), F.col("__first").alias("__a"), F.col("__second").alias("__b"))
+    # a text has as many flagged lines as it has lines at most
+    lost = written(lost.agg(F.sum("words").alias("__lost"), F.collect_set("key").alias("__flags")), "lost")
+
     added = ("left_words", "left_text", "kept")
-    out = measure(df, text).drop(*added)
-    out = out.join(flags, F.col(host).eqNullSafe(F.col("__host")), "left").drop("__host")
-    columns = [c for c in out.columns if c != "__flags"]
-    out = out.select(*columns, "__flags", F.split(filled(text), "\n", -1).alias("__lines"), normal_lines(filled(text)).alias("__normal"))
-
-    def stays(line: Column, normal: Column) -> Column:
-        return F.when((normal != "") & F.array_contains("__flags", F.xxhash64(normal)), F.lit(None)).otherwise(line)
-
-    left = F.filter(F.zip_with("__lines", "__normal", stays), lambda x: x.isNotNull())
-    out = out.select(*columns, F.when(F.col("__flags").isNotNull(), left).alias("__left"))
-    left_text = F.coalesce(F.array_join("__left", "\n"), filled(text))
-    out = out.select(*columns, left_text.alias("left_text"), F.col("__left").isNotNull().alias("__changed"))
-    left_words = F.when(F.col("__changed"), F.size(words(F.col("left_text"))).cast("bigint")).otherwise(F.col("n_words"))
-    out = out.select(*columns, "left_text", left_words.alias("left_words"))
-    return out.withColumn("kept", _held(~F.col("base_failed") & (F.col("left_words") >= min_left * F.col("n_words"))))
+    measured = measure(df, text).drop(*added)
+    columns = measured.columns
+    same = F.col(host).eqNullSafe(F.col("__host")) & (F.col("__first") == F.col("__a")) & (F.col("__second") == F.col("__b"))
+    out = measured.select("*", *_identity(text)).join(lost, same, "left")
+    out = out.select(*columns, "__flags", F.coalesce("__lost", F.lit(0)).alias("__lost"))
+    left = F.filter(
+        F.zip_with(F.split(filled(text), "\n", -1), normal_lines(filled(text)), lambda x, y: F.when((y == "") | ~F.array_contains("__flags", F.xxhash64(y)), x)),
+        lambda x: x.isNotNull(),
+    )
+    left_text = F.when(F.col("__flags").isNull(), filled(text)).otherwise(F.array_join(left, "\n"))
+    out = out.select(*columns, left_text.alias("left_text"), (F.col("n_words") - F.col("__lost")).alias("left_words"))
+    return out.withColumn("kept", ~F.col("base_failed") & (F.col("left_words") >= min_left * F.col("n_words")))

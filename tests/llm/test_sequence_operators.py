@@ -277,7 +277,7 @@ def test_pipeline_runs(spark):
 @pytest.mark.parametrize("name", list(ORACLE))
 def test_queries_equal_their_sql(spark, name):
     database = duckdb.connect()
-    for table in ("documents", "pages", "conversations"):
+    for table in ("documents", "pages", "conversations", "benchmark"):
         database.execute(f"create view {table} as select * from '{SMALL}/{table}.parquet'")
     found = database.execute(ORACLE[name])
     columns = [d[0] for d in found.description]
@@ -287,7 +287,7 @@ def test_queries_equal_their_sql(spark, name):
 
 
 def test_one_query_per_operator():
-    assert [q.split("_")[0] for q in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [q.split("_")[0] for q in QUERIES] == [f"op{i}" for i in range(1, 14)]
     entry = importlib.import_module("__spark_entry__")
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
 

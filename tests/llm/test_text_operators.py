@@ -61,15 +61,39 @@ def test_frequent_lines_go_and_depleted_documents_are_rejected(documents):
     assert found[400].kept
 
 
-def test_furniture_of_the_smallest_digest_goes_and_near_copies_stay(documents):
+def test_furniture_of_the_smallest_digest_goes(documents):
     smallest = min((f"menu {made(i, 3)}" for i in range(20_000)), key=lambda x: hashlib.md5(x.encode()).digest())
     menu = "\n".join([smallest, *[f"Menu {made(9000 + i, 3)}" for i in range(10)]])
     pages = [(i, f"{menu}\n{made(i, 70)}", "shop") for i in range(40)]
-    lines = [made(800 + i, 12) for i in range(20)]
-    near = [(500 + i, "\n".join(made(2000 + i, 12) if j == i % 20 else x for j, x in enumerate(lines)), "copied") for i in range(60)]
-    found = {r.doc_id: r for r in quality.judge(documents(*pages, *near)).collect()}
+    found = {r.doc_id: r for r in quality.judge(documents(*pages)).collect()}
     assert all(found[i].left_words == 70 and found[i].kept for i in range(40))
-    assert all(found[500 + i].left_words == 240 and found[500 + i].kept for i in range(60))
+
+
+def test_pages_of_furniture_are_rejected(documents):
+    """Pages that share most of their lines, near copies of each other too, beside clean ones of their host."""
+    shared = "\n".join(made(9000 + i, 20) for i in range(5))
+    pages = [(i, f"{shared}\n{made(i, 8)}", "shop") for i in range(200)]
+    clean = [(1000 + i, f"{made(1000 + i, 60)}\n{made(2000 + i, 40)}", "shop") for i in range(300)]
+    few = [(5000 + i, f"{shared}\n{made(i, 8)}", "blog") for i in range(quality.MAX_DOCUMENTS)]
+    found = {r.doc_id: r for r in quality.judge(documents(*pages, *clean, *few)).collect()}
+    assert not any(found[i].kept for i in range(200)) and all(found[i].left_words == 8 for i in range(200))
+    assert all(found[k].kept and found[k].left_words == found[k].n_words for k in found if k >= 1000)
+
+
+def test_the_limit_does_not_grow_with_the_host(documents):
+    rows = [(i, made(i, 60) + ("\n" + made(9000, 10) if i < 90 else ""), "large") for i in range(1000)]
+    rows += [(2000 + i, made(2000 + i, 60) + ("\n" + made(9000, 10) if i < 21 else ""), "small") for i in range(30)]
+    found = {r.doc_id: r for r in quality.judge(documents(*rows)).collect()}
+    assert all(r.left_words == 60 and r.kept for r in found.values())
+
+
+def test_repeated_rows_and_lines_in_quality(documents):
+    """Words of every copy of a flagged line are lost; rows of one text are judged alike, also under one id or none."""
+    line = made(9000, 10)
+    rows = [(i, f"{line}\n{made(i, 60)}\n{line.upper()}", "a") for i in range(30)]
+    rows += [(None, rows[3][1], "a"), (None, rows[3][1], "a"), (3, rows[3][1], "a"), (50, rows[3][1], None), (51, rows[3][1], "b")]
+    found = quality.judge(documents(*rows, extra=("lines", "key", "words", "host"))).collect()
+    assert len(found) == len(rows) and all(r.left_words == (60 if r.source == "a" else 80) for r in found)
 
 
 def test_odd_rows_do_not_break_quality(documents):
