@@ -36,3 +36,9 @@ def insert_new(batch: DataFrame, target: DataFrame, keys: Sequence[str], order:
     """Rows to append so that no key of ``target`` is repeated: first row per new key."""
     fresh = first_by(batch, keys, order)
     return fresh.join(target.select(*keys), list(keys), "left_anti")
+
+
+def unknown(rows: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key ``target`` does not have; NULL equals NULL, and the join stays an equi-join."""
+    known = target.select(*[F.col(c).alias(f"_{c}") for c in keys])
+    return rows.join(known, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys], "left_anti")

@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 import argparse
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from retailmart.operators.contract import enforce
 from retailmart.plans.marts import MART_PLANS
-from retailmart.plans.star import DerivedStar, StagingReader, StoredStar
-from retailmart.schemas import MART_ORDER, MARTS, STAGING, STAR
+from retailmart.plans.star import MEASURES, SALE_MONTH, DerivedStar, GrownStar, StagingReader, StoredStar, SummedStar
+from retailmart.schemas import MART_ORDER, MARTS, STAGING, STAR, SUMS
 from retailmart.sources.csv_files import FILE_NUMBER, FILE_PATTERN, ID_STRIDE, check_stride, ingest_csv, require_rows
 from retailmart.sources.jdbc import Database
-from retailmart.sources.store import Store
+from retailmart.sources.store import Commit, Conflict, Store
 
 # Parents before children, the fact last. Tables of one wave do not need each other,
 # so their jobs run side by side and fill cores that the tail of one job leaves idle.
@@ -33,6 +34,9 @@ WAVES = (
     ("fact_sales",),
 )
 JOBS_AT_ONCE = 2
+MOST_PARTS = 16  # folders of stored sums before they are merged into one
+MOST_TRIES = 5  # of an update that other writers overtake
+FACT_BY_MONTH = StructType([*STAR["fact_sales"].fields, StructField(SALE_MONTH, IntegerType())])
 
 
 def stored_staging(spark: SparkSession, path: str) -> StagingReader:
@@ -44,29 +48,41 @@ def stored_staging(spark: SparkSession, path: str) -> StagingReader:
     return read
 
 
-def ingest(spark: SparkSession, folder: str, target: str, **options) -> StagingReader:
-    """CSV files to stored staging, once, so that no later step parses text again.
+def ingest(spark: SparkSession, folder: str, target: str, append: bool = False, **options) -> StagingReader:
+    """CSV files to stored staging, once, so that no later step parses text again; returns a reader of all of it.
 
     Staging is published like star and marts: a build that still reads the last one goes on
-    undisturbed, and a failed ingest is never seen. Identifiers that collide between files are an error.
+    undisturbed, and a failed ingest is never seen. ``append`` adds the files to staging as a batch of its own. Identifiers
+    that collide between files are an error.
     """
     rows = require_rows(ingest_csv(spark, folder, **options))
+    return add_staging(spark, rows, target, append, options.get("stride", ID_STRIDE))
+
+
+def add_staging(spark: SparkSession, rows: DataFrame, target: str, append: bool = True, stride: int | None = None) -> StagingReader:
+    """Store staging rows as a batch, beside the earlier ones or in their place."""
     store = Store(spark, target, "staging")
-    run = store.new_run()
+    before = store.last_commit() if append else None
+    run = store.new_run(before)
     store.write(rows, run, "rows")
-    check_stride(store.read(run, "rows", STAGING), options.get("stride", ID_STRIDE))
-    store.publish(run)
+    if stride:
+        check_stride(store.read(run, "rows", STAGING), stride)
+    store.publish(run, before)
     return latest_staging(spark, target)
 
 
 def latest_staging(spark: SparkSession, target: str) -> StagingReader:
     """Reader of the last published staging."""
     store = Store(spark, target, "staging")
-    rows = store.read(store.latest(), "rows", STAGING)
+    return _reader(store, store.commit().parts["rows"])
+
+
+def _reader(store: Store, parts: list[str]) -> StagingReader:
+    rows = store.read_parts(parts, STAGING)
     return lambda *columns: rows.select(*columns)
 
 
-def build_star(spark: SparkSession, read: StagingReader, target: str) -> dict[str, int]:
+def build_star(spark: SparkSession, read: StagingReader, target: str, notes: dict | None = None) -> dict[str, int]:
     """Write all star tables as a new run and publish it; returns rows per table.
 
     Each table is written once and read back by its children, with its real size known.
@@ -74,23 +90,95 @@ def build_star(spark: SparkSession, read: StagingReader, target: str) -> dict[st
     store = Store(spark, target, "star")
     run = store.new_run()
     star = DerivedStar(spark, read)
+    written = _load_waves(store, run, star, star.table)
+    store.publish(run, notes=notes)
+    return written
+
+
+def update_star(spark: SparkSession, target: str) -> dict[str, int]:
+    """Add the staging batches that the star does not have yet; returns rows added per table, none if nothing is new.
+
+    Stored rows keep their keys; only the new rows are written. A star that was made from other staging is built anew. If
+    another writer commits first, the batches that are then left are added to its star.
+    """
+    for _ in range(MOST_TRIES):
+        try:
+            return _update_star(spark, target)
+        except Conflict:
+            continue
+    raise Conflict(f"{target}: overtaken {MOST_TRIES} times")
+
+
+def _update_star(spark: SparkSession, target: str) -> dict[str, int]:
+    staging, store = Store(spark, target, "staging"), Store(spark, target, "star")
+    batches = staging.commit().parts["rows"]
+    before = store.last_commit()
+    seen = before.notes.get("staging") if before else None
+    notes = {"staging": batches}
+    if seen is None or not set(seen) <= set(batches):
+        return build_star(spark, _reader(staging, batches), target, notes)
+    fresh = [b for b in batches if b not in seen]
+    if not fresh:
+        return {}
+    known = _Tables(store, before)
+    star = GrownStar(spark, _reader(staging, fresh), known)
+    star.adopt("dimension_dates", known["dimension_dates"])
+    run = store.new_run(before)
+    above = known["fact_sales"].agg(F.coalesce(F.max("sale_key"), F.lit(0))).first()[0]
+    written = _load_waves(store, run, star, star.added, above, skip=("dimension_dates",))
+    store.publish(run, before, notes)
+    return written
+
+
+def _load_waves(store: Store, run: str, star: DerivedStar, rows_of: Callable[[str], DataFrame], above: int = 0, skip: tuple[str, ...] = ()) -> dict[str, int]:
+    """Write each table and let the star use it as it then is; sale keys start above the given one."""
 
     def load(name: str) -> int:
-        table = star.table(name)
+        table = rows_of(name)
         if name == "fact_sales":
             # Unique and final once written; sequences of a database have gaps too.
-            table = table.withColumn("sale_key", F.monotonically_increasing_id() + 1)
-        rows = store.write(enforce(table, STAR[name]), run, name)
+            table = laid_out(table).withColumn("sale_key", F.monotonically_increasing_id() + F.lit(above + 1))
+            rows = store.write(enforce(table, FACT_BY_MONTH), run, name, (SALE_MONTH, "date_key", "product_key"), (SALE_MONTH,))
+        else:
+            rows = store.write(enforce(table, STAR[name]), run, name)
         star.adopt(name, store.read(run, name, STAR[name]))
         return rows
 
     written = {}
     for wave in WAVES:
-        written |= _side_by_side(load, wave)
-    store.publish(run)
+        written |= _side_by_side(load, [n for n in wave if n not in skip])
     return written
 
 
+def laid_out(fact: DataFrame) -> DataFrame:
+    """The fact with its month, dealt out by ranges of month and product: a task writes few months, and a large month goes to many tasks."""
+    rows = fact.withColumn(SALE_MONTH, F.floor(F.col("date_key") / 100).cast("int"))
+    return rows.repartitionByRange(SALE_MONTH, "product_key", "customer_key")
+
+
+class _Tables(Mapping):
+    """The star tables of a commit; a table's folders are listed when it is first asked for."""
+
+    def __init__(self, store: Store, commit: Commit):
+        self._store, self._commit, self._read = store, commit, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._read:
+            schema = FACT_BY_MONTH if name == "fact_sales" else STAR[name]
+            self._read[name] = self._store.read_parts(self._commit.parts[name], schema)
+        return self._read[name].select(*STAR[name].names)
+
+    def by_month(self) -> DataFrame:
+        self["fact_sales"]
+        return self._read["fact_sales"]
+
+    def __iter__(self):
+        return iter(STAR)
+
+    def __len__(self) -> int:
+        return len(STAR)
+
+
 def _side_by_side(load: Callable[[str], int], names: Iterable[str]) -> dict[str, int]:
     with ThreadPoolExecutor(JOBS_AT_ONCE) as pool:
         return dict(zip(names, pool.map(load, names)))
@@ -99,20 +187,49 @@ def _side_by_side(load: Callable[[str], int], names: Iterable[str]) -> dict[str,
 def read_star(spark: SparkSession, target: str) -> StoredStar:
     """The latest published star."""
     store = Store(spark, target, "star")
-    run = store.latest()
-    return StoredStar({name: store.read(run, name, schema) for name, schema in STAR.items()})
+    tables = _Tables(store, store.commit())
+    return StoredStar(tables, tables.by_month)
 
 
 def build_marts(spark: SparkSession, target: str) -> dict[str, int]:
-    """Write the six marts of the latest star as a new run and publish it; returns rows per mart."""
-    star = read_star(spark, target)
-    store = Store(spark, target, "marts")
-    run = store.new_run()
-    written = _side_by_side(lambda n: store.write(MART_PLANS[n](star), run, n, MART_ORDER[n]), tuple(MART_PLANS))
-    store.publish(run)
+    """Write the six marts of the latest star as a new run and publish it; returns rows per mart.
+
+    Sales are summed per key first, and the sums are stored. If the star has only grown since the last run, just the sales
+    that were added are summed and stored beside the earlier sums; the marts are made from all of them, which are
+    one row per key and batch instead of the fact. The run notes the star it was made from.
+    """
+    stars, store = Store(spark, target, "star"), Store(spark, target, "marts")
+    star, before = stars.commit(), store.last_commit()
+    sales = star.parts["fact_sales"]
+    covered = before.notes.get("sales", []) if before else []
+    if not covered or not set(covered) <= set(sales):
+        before, covered = None, []
+    run = store.new_run(before)
+    tables = _Tables(stars, star)
+    added = StoredStar({"fact_sales": stars.read_parts([p for p in sales if p not in covered], STAR["fact_sales"])})
+
+    def summed(key: str) -> int:
+        rows = added.totals(key)
+        whole = len(store.parts(run, f"sums_{key}")) >= MOST_PARTS
+        if whole:
+            rows = _merged(store.read(run, f"sums_{key}", SUMS[key]).unionByName(rows), key)
+        return store.write(enforce(rows, SUMS[key]), run, f"sums_{key}", (key,), replace=whole)
+
+    if len(covered) < len(sales):
+        _side_by_side(summed, tuple(SUMS))
+    sums = {key: _merged(store.read(run, f"sums_{key}", schema), key) for key, schema in SUMS.items()}
+    whole = SummedStar(tables, sums)
+    written = _side_by_side(lambda n: store.write(MART_PLANS[n](whole), run, n, MART_ORDER[n], replace=True), tuple(MART_PLANS))
+    store.publish(run, before, {"star": star.number, "sales": sales})
     return written
 
 
+def _merged(rows: DataFrame, key: str) -> DataFrame:
+    """Sums of several batches as one row per key."""
+    kinds = {f.name: f.dataType for f in SUMS[key].fields}
+    return rows.groupBy(key).agg(*[F.sum(m).cast(kinds[m]).alias(m) for m in MEASURES])
+
+
 def read_mart(spark: SparkSession, target: str, name: str) -> DataFrame:
     """A mart of the latest published run."""
     store = Store(spark, target, "marts")
@@ -155,6 +272,14 @@ def run(spark: SparkSession, read: StagingReader, target: str, job: str = "both"
     return written
 
 
+def update(spark: SparkSession, target: str, job: str = "both") -> dict[str, int]:
+    """As ``run``, but adds what staging has and the star has not: rows added per star table, rows per mart."""
+    if job not in ("transform", "reports", "both"):
+        raise ValueError(f"unknown job {job}")
+    written = update_star(spark, target) if job != "reports" else {}
+    return written | (build_marts(spark, target) if job != "transform" else {})
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="python -m retailmart.plans.jobs", description=__doc__)
     parser.add_argument("--csv", help="folder of CSV files to ingest first")
@@ -164,15 +289,16 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--stride", type=int, default=ID_STRIDE, help="what a file's number shifts identifiers by; at least the rows of a file")
     parser.add_argument("--mixed-headers", action="store_true", help="files may lack columns or order them differently")
     parser.add_argument("--multi-line", action="store_true", help="quoted cells may hold line breaks")
+    parser.add_argument("--append", action="store_true", help="add to staging, star and marts instead of building them anew")
     parser.add_argument("--job", choices=("transform", "reports", "both"), default="both")
     options = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("retailmart").getOrCreate()
     if options.csv:
-        names = ("pattern", "number", "stride", "mixed_headers", "multi_line")
+        names = ("append", "pattern", "number", "stride", "mixed_headers", "multi_line")
         ingest(spark, options.csv, options.target, **{n: getattr(options, n) for n in names})
-    read = latest_staging(spark, options.target)
-    for name, rows in run(spark, read, options.target, options.job).items():
+    done = update(spark, options.target, options.job) if options.append else run(spark, latest_staging(spark, options.target), options.target, options.job)
+    for name, rows in done.items():
         print(f"{name}: {rows} rows")
 
 

@@ -14,6 +14,7 @@ Reports ask a star for two things:
 from __future__ import annotations
 
 from abc import ABC, abstractmethod
+from collections import ChainMap
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from retailmart.functions.dates import calendar, date_key, parse_date
 from retailmart.functions.text import blank_to_null, clean, email, not_blank, or_unknown
-from retailmart.operators.dedup import first_by
+from retailmart.operators.dedup import first_by, unknown
 from retailmart.operators.joins import lookup, lowest_key
 from retailmart.operators.keys import number_rows
 from retailmart.schemas import STAR
@@ -279,11 +280,26 @@ class Star(ABC):
         return self.totals(key).join(self.table(DIMENSION_OF[key], key, *attributes), key)
 
 
+SALE_MONTH = "sale_month"  # year and month of a sale as one number: the folders of a stored fact
+
+
 class StoredStar(Star):
-    """A star schema that was written before."""
+    """A star schema that was written before.
+
+    ``by_month`` gives the fact with its month, if it is stored by month.
+    """
+
+    def __init__(self, tables: Mapping[str, DataFrame], by_month: Callable[[], DataFrame] | None = None):
+        self._tables = tables
+        self._by_month = by_month
 
-    def __init__(self, tables: Mapping[str, DataFrame]):
-        self._tables = dict(tables)
+    def during(self, first: int, last: int) -> StoredStar:
+        """The star with the sales from one day to another (``yyyymmdd``); of a fact stored by month other months are not read."""
+        sales = self._by_month() if self._by_month else self._tables["fact_sales"]
+        sales = sales.where(F.col("date_key").between(first, last))
+        if self._by_month:
+            sales = sales.where(F.col(SALE_MONTH).between(first // 100, last // 100))
+        return StoredStar(ChainMap({"fact_sales": sales.select(*self._tables["fact_sales"].columns)}, self._tables))
 
     def table(self, name: str, *columns: str) -> DataFrame:
         return self._tables[name].select(*(columns or ["*"]))
@@ -392,6 +408,40 @@ class DerivedStar(Star):
         return rows.withColumn(key, F.nullif(F.col(column), F.lit("")))
 
 
+class GrownStar(DerivedStar):
+    """A stored star and a batch of staging that adds to it.
+
+    Rows that are stored stay as they are, with their numbers. A natural key that is new gets the first of its
+    rows in the batch and a number above all numbers given before.
+    """
+
+    def __init__(self, spark: SparkSession, read: StagingReader, known: Mapping[str, DataFrame]):
+        super().__init__(spark, read)
+        self._known = known
+
+    def added(self, name: str) -> DataFrame:
+        """The rows that the batch adds to a dimension, or its sales; parents must have been adopted."""
+        if name == "fact_sales":
+            return self.table(name)
+        key, order = primary_key(name), KEY_ORDER[name]
+        new = unknown(self._natural(name), self._known[name], order)
+        above = self._known[name].agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
+        numbered = number_rows(new, order, key).withColumn(key, F.col(key) + F.lit(above))
+        columns = tuple(STAR[name].names)
+        return self._with_parents(name, numbered, columns).select(*columns)
+
+
+class SummedStar(StoredStar):
+    """A stored star whose sums per key are stored as well."""
+
+    def __init__(self, tables: Mapping[str, DataFrame], sums: Mapping[str, DataFrame]):
+        super().__init__(tables)
+        self._sums = dict(sums)
+
+    def totals(self, *keys: str) -> DataFrame:
+        return self._sums[keys[0]] if len(keys) == 1 and keys[0] in self._sums else super().totals(*keys)
+
+
 def _natural_key(columns: Mapping[str, str]) -> Column:
     """The natural key as one value: text, or a struct, in which NULL equals NULL."""
     if len(columns) == 1:

@@ -101,6 +101,12 @@ STAR = {
     ),
 }
 
+# sums of sales per key, stored with the marts
+SUMS = {
+    key: table(**{key: kind, "quantity": LONG, "revenue": DecimalType(20, 2), "sales": LONG})
+    for key, kind in (("product_key", LONG), ("customer_key", LONG), ("store_key", LONG), ("date_key", INT))
+}
+
 # fixed values: the six stored marts
 MARTS = {
     "report_products_sales": table(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,7 +18,7 @@ from retailmart.operators.keys import number_rows
 from retailmart.operators.ranking import table_counts
 from retailmart.plans import audits
 from retailmart.plans.adhoc import ADHOC
-from retailmart.plans.jobs import latest_staging, read_mart, read_star, run
+from retailmart.plans.jobs import add_staging, read_mart, read_star, run, update
 from retailmart.plans.marts import BREAKDOWNS, MART_PLANS, SHOWN_KEYS, best_selling_rows, preview
 from retailmart.plans.star import (
     KEY_ORDER,
@@ -303,14 +304,48 @@ def stored(spark: SparkSession, sf_dir: str) -> str:
 
 def _run_jobs(spark: SparkSession, sf_dir: str) -> str:
     target = f"{shared_folder(spark)}/target-{uuid.uuid4().hex}"
-    store = Store(spark, target, "staging")
-    number = store.new_run()
-    store.write(reader(spark, sf_dir)(), number, "rows")
-    store.publish(number)
-    run(spark, latest_staging(spark, target), target)
+    run(spark, add_staging(spark, reader(spark, sf_dir)(), target), target)
     return target
 
 
+_GROWN: dict[tuple[str, str], str] = {}
+
+
+def grown(spark: SparkSession, sf_dir: str) -> str:
+    """A target that was loaded with the lower half of the identifiers and then with the rest, once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _GROWN:
+        target = f"{shared_folder(spark)}/grown-{uuid.uuid4().hex}"
+        rows = reader(spark, sf_dir)()
+        middle = F.lit(reader(spark, sf_dir)("id").agg(F.max("id")).first()[0] // 2)
+        for half in (F.col("id") < middle, F.col("id") >= middle):
+            add_staging(spark, rows.where(half), target)
+            update(spark, target)
+        _GROWN[key] = target
+    return _GROWN[key]
+
+
+def _grown_mart(name: str) -> Query:
+    return lambda spark, sf_dir: read_mart(spark, grown(spark, sf_dir), name)
+
+
+def _grown_table(name: str) -> Query:
+    columns = [c for c in STAR[name].names if c != "sale_key"]
+    return lambda spark, sf_dir: read_star(spark, grown(spark, sf_dir)).table(name, *columns)
+
+
+def _grown_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the first load's tables that the second load changed or lost."""
+    target = grown(spark, sf_dir)
+    store, now = Store(spark, target, "star"), read_star(spark, target)
+    first = store.before(store.commit())
+    counts = []
+    for name, schema in STAR.items():
+        old = store.read_parts(first.parts[name], schema)
+        counts.append(old.exceptAll(now.table(name)).agg(F.lit(name).alias("table_name"), F.count("*").alias("changed")))
+    return reduce(DataFrame.unionAll, counts)
+
+
 def _stored_mart(name: str) -> Query:
     return lambda spark, sf_dir: read_mart(spark, stored(spark, sf_dir), name)
 
@@ -394,6 +429,9 @@ QUERIES: dict[str, Query] = {
     **{f"stored_{name.removeprefix('report_')}": _stored_mart(name) for name in MART_PLANS},
     "stored_counts": _stored_star(_table_sizes),
     "stored_sale_keys": _stored_star(_sale_keys),
+    **{f"grown_{name.removeprefix('dimension_')}": _grown_table(name) for name in [*KEY_ORDER, "fact_sales"]},
+    **{f"grown_{name.removeprefix('report_')}": _grown_mart(name) for name in MART_PLANS},
+    "grown_keys": _grown_keys,
     "faulty_unique": _on_faulty(audits.unique_keys),
     "faulty_fk": _on_faulty(audits.references),
     "faulty_not_null": _on_faulty(audits.required_columns),
