@@ -12,15 +12,23 @@ def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFr
     """The first row of every key by ``order``, ties broken by all other columns, NULL first.
 
     Rows of a tie that is left are equal in all columns, so the outcome does not
-    depend on partitioning. The smallest struct per key is found on both sides of
-    the shuffle: each task ships one row per key, which keeps a key that holds a
-    third of the table harmless. Grouping by the hash ahead of the key lets the
-    sort under the aggregate compare numbers instead of text.
+    depend on partitioning. Two phases: the smallest value of the first order column per key is a hash
+    aggregate of one number, of which a task ships one row per key; the rows that hold it then come back by a
+    join on key and value, so a key that holds a third of the table is dealt out by its values. Only these
+    few rows are sorted to settle ties.
     """
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    first = F.min(F.struct(*order, *rest)).alias("_first")
-    chosen = df.withColumn("_hash", F.xxhash64(*keys)).groupBy("_hash", *keys).agg(first)
-    return chosen.select(*[F.col(c) if c in keys else F.col(f"_first.{c}") for c in df.columns])
+    lead, rest = order[0], [c for c in df.columns if c not in keys and c != order[0]]
+    rest = sorted(rest, key=lambda c: order.index(c) if c in order else len(order))
+    least = F.when(F.count_if(F.col(lead).isNull()) == 0, F.min(lead)).alias("_least")
+    least = df.groupBy(*keys).agg(least).select(*[F.col(c).alias(f"_{c}") for c in keys], "_least")
+    # most rows are none of the smallest values at all: one number tells, before their keys are made
+    near = df.join(least.select("_least"), F.col(lead).eqNullSafe(F.col("_least")), "left_semi")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]
+    winners = near.join(least, [*same, F.col(lead).eqNullSafe(F.col("_least"))], "left_semi")
+    if not rest:
+        return winners.distinct()
+    chosen = winners.groupBy(*keys, lead).agg(F.min(F.struct(*rest)).alias("_rest"))
+    return chosen.select(*[F.col(c) if c in (*keys, lead) else F.col(f"_rest.{c}") for c in df.columns])
 
 
 def first_non_null(df: DataFrame, keys: Sequence[str], value: str, order: str) -> DataFrame:

@@ -1,9 +1,10 @@
 """Shapes of physical plans that must hold at scale."""
 
 import pytest
-from conftest import SMALL
+from conftest import SMALL, rows_of
 
-from retailmart.plans.star import sales
+from retailmart.operators.dedup import first_by
+from retailmart.plans.star import customers, products, sales
 from retailmart.trial.queries import QUERIES, reader
 
 
@@ -41,3 +42,20 @@ def test_only_needed_columns_are_read(spark):
 def test_distinct_counts_stay_hash_aggregates(spark):
     text = plan(QUERIES["agg_mixed_distinct"](spark, SMALL))
     assert "SortAggregate" not in text and "ObjectHashAggregate" not in text
+
+
+@pytest.mark.parametrize("table", [customers, products])
+def test_first_rows_are_found_by_hash(spark, table):
+    """No sort over staging: only the few rows that hold a smallest identifier are sorted, above the joins that find them."""
+    read = reader(spark, SMALL)
+    plan = table(read)._jdf.queryExecution().sparkPlan().toString()
+    sorted_at = [i for i, line in enumerate(plan.split("\n")) if "SortAggregate" in line]
+    joined_at = [i for i, line in enumerate(plan.split("\n")) if "LeftSemi" in line]
+    assert len(joined_at) >= 2 and max(sorted_at) < min(joined_at)
+
+
+def test_first_rows_with_ties_and_nulls(spark):
+    rows = [("a", 2, "x"), ("a", 1, "z"), ("a", 1, "y"), ("a", 1, "y"), (None, 3, "q"), (None, None, "s"), (None, None, None), ("b", None, "t"), ("c", 1, None)]
+    df = spark.createDataFrame(rows, "k string, id int, v string").repartition(3)
+    assert rows_of(first_by(df, ["k"], ["id"])) == sorted([("a", 1, "y"), (None, None, None), ("b", None, "t"), ("c", 1, None)], key=repr)
+    assert rows_of(first_by(df, ["k"], ["v", "id"])) == sorted([("a", 1, "y"), (None, None, None), ("b", None, "t"), ("c", 1, None)], key=repr)
