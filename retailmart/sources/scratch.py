@@ -19,11 +19,16 @@ def shared_folder(spark: SparkSession) -> str:
     return folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/intermediate"
 
 
+def removed_at_end(spark: SparkSession, path: str) -> None:
+    """Have a folder removed when the application ends."""
+    location = spark._jvm.org.apache.hadoop.fs.Path(path)
+    location.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(location)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and return the written table; it is removed when the application ends."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    location.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(location)
+    removed_at_end(spark, path)
     return spark.read.schema(df.schema).parquet(path)
