@@ -153,7 +153,9 @@ def write_archives(
     starts = written(ends.select("part", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("start")), "starts")
     number = F.floor((F.col("start") + F.col("place")) / F.lit(roll)).cast("bigint")
     dealt = members.join(starts, "part").select(number.alias("number"), "part", "place", "member")
-    dealt = dealt.repartition(F.col("number")).sortWithinPartitions("number", "part", "place").select("number", "member")
+    # ranges of numbers, as many as there are files: hashes would put several files in one task
+    files = max(1, -(-(ends.agg(F.sum("bytes")).first()[0] or 0) // roll))
+    dealt = dealt.repartitionByRange(files, "number").sortWithinPartitions("number", "part", "place").select("number", "member")
     made = dealt.mapInArrow(partial(_files, folder=folder, date=date), "file string, number bigint, records bigint, bytes bigint, sha256 string")
     made.write.parquet(f"{folder}/manifest")
     return spark.read.parquet(f"{folder}/manifest")
@@ -211,5 +213,7 @@ def read_archives(spark: SparkSession, folder: str) -> DataFrame:
 
     Digests are checked. The payload of a revisit is NULL; its response has it.
     """
-    files = spark.read.parquet(f"{folder}/manifest").select("file").repartition("file")
+    manifest = spark.read.parquet(f"{folder}/manifest").select("file", "number")
+    # a given number of partitions stays as it is: one for each file
+    files = manifest.repartitionByRange(max(1, manifest.count()), "number").select("file")
     return files.mapInArrow(_records, "id string, url string, record_type string, payload_digest string, payload_bytes bigint, refers_to string, payload string")
