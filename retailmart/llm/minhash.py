@@ -30,7 +30,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from retailmart.llm.graph import components
@@ -49,40 +49,42 @@ _ELEMENTS = 200_000  # shingles signed at once
 def _signed(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
     cache = WordHashes()
 
-    def emit(ids: list, sets: list[np.ndarray], kind: pa.DataType) -> pa.RecordBatch:
+    def emit(own: pa.RecordBatch, sets: list[np.ndarray]) -> pa.RecordBatch:
         full = [s for s in sets if len(s)]
         signatures = super_min_hash(full, SLOTS) if full else np.empty((0, SLOTS), np.uint32)
         bands, bits = iter(band_keys(signatures, BANDS, ROWS).tolist()), iter(one_bit(signatures).tolist())
         return pa.RecordBatch.from_arrays(
             [
-                pa.array(ids, kind),
+                *(own.column(i) for i in (0, 2, 3)),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([set_key(s) if len(s) else None for s in sets], pa.int64()),
                 pa.array([next(bands) if len(s) else None for s in sets], pa.list_(pa.int64())),
                 pa.array([next(bits) if len(s) else None for s in sets], pa.list_(pa.int64())),
             ],
-            ["id", "n_shingles", "node", "bands", "bits"],
+            ["id", "first", "second", "n_shingles", "node", "bands", "bits"],
         )
 
     for batch in batches:
-        ids, sets, held = [], [], 0
-        kind = batch.schema.field(0).type
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            ids.append(key)
+        start, sets, held = 0, [], 0
+        for at, text in enumerate(batch.column(1), 1):
             sets.append(shingle_set(text.as_py(), shingle, cache))
             held += len(sets[-1])
-            if held >= _ELEMENTS:
-                yield emit(ids, sets, kind)
-                ids, sets, held = [], [], 0
-        if ids:
-            yield emit(ids, sets, kind)
+            if held >= _ELEMENTS or at == batch.num_rows:
+                yield emit(batch.slice(start, at - start), sets)
+                start, sets, held = at, [], 0
+
+
+def _whole(text: str) -> list[Column]:
+    """Two hashes that stand for a whole text."""
+    return [F.xxhash64(text).alias("first"), F.xxhash64(F.lit("other"), F.col(text)).alias("second")]
 
 
 def signatures(df: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
-    """``(id, n_shingles, node, bands, bits)`` per row, written; ``node`` is NULL for an empty set."""
+    """``(id, first, second, n_shingles, node, bands, bits, row)`` per row, written; ``node`` is NULL for an empty set."""
     kind = df.schema[key].dataType.simpleString()
-    rows = df.select(F.col(key), F.col(text).cast("string"))
-    return written(rows.mapInArrow(partial(_signed, shingle=shingle), f"id {kind}, n_shingles bigint, node bigint, bands array<bigint>, bits array<bigint>"), "signatures")
+    rows = df.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")).select("id", "text", *_whole("text"))
+    schema = f"id {kind}, first bigint, second bigint, n_shingles bigint, node bigint, bands array<bigint>, bits array<bigint>"
+    return written(rows.mapInArrow(partial(_signed, shingle=shingle), schema).withColumn("row", F.monotonically_increasing_id()), "signatures")
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch], shingle: int, percent: int) -> Iterator[pa.RecordBatch]:
@@ -176,10 +178,15 @@ def _own(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordB
         yield batch.filter(pa.array(fits, pa.bool_()))
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """``(<key>, n_shingles, component_id, kept)`` per row; ``kept`` marks the smallest id of each group."""
+def _groups(df: DataFrame, key: str, text: str, shingle: int, percent: int) -> DataFrame:
+    """The signatures' rows with their group: ``component``, its smallest id, and ``lead``, the row of that id that comes first.
+
+    A group without any id has a lead, too.
+    """
     rows = signatures(df, key, text, shingle)
-    nodes = written(rows.where("node is not null").groupBy("node").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("bits").alias("bits")), "nodes")
+    lead = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "first", "second")).alias("lead")
+    nodes = rows.where("node is not null").groupBy("node").agg(lead, F.first("bands").alias("bands"), F.first("bits").alias("bits"))
+    nodes = written(nodes.select("node", "lead", F.col("lead.id").alias("id"), "bands", "bits"), "nodes")
     bits = nodes.select("node", "bits")
 
     entries = nodes.select("node", F.explode("bands").alias("bucket"))
@@ -224,9 +231,31 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shin
         links = links.union(more)
         labels = components(links)
 
-    named = nodes.select("node", "id").join(labels, "node", "left").select("node", "id", F.coalesce("label", "node").alias("label"))
-    lowest = named.groupBy("label").agg(F.min("id").alias("component"))
-    found = named.join(lowest, "label").select("node", "component")
-    out = rows.select("id", "n_shingles", "node").join(found, "node", "left")
-    component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("component"))
-    return out.select(F.col("id").alias(key), "n_shingles", component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
+    named = nodes.select("node", "lead").join(labels, "node", "left").select("node", "lead", F.coalesce("label", "node").alias("label"))
+    lowest = named.groupBy("label").agg(F.min("lead").alias("lead"))
+    found = named.select("node", "label").join(lowest, "label").select("node", "lead")
+    return rows.select("id", "first", "second", "n_shingles", "node", "row").join(found, "node", "left")
+
+
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """``(<key>, n_shingles, component_id, kept)`` per row; ``kept`` marks the smallest id of each group, or one row of a group without ids."""
+    rows = _groups(df, key, text, shingle, percent)
+    component = F.when(F.col("node").isNull(), F.col("id")).otherwise(F.col("lead.id"))
+    kept = F.when(F.col("node").isNull(), True).when(F.col("lead.none"), F.col("row") == F.col("lead.row")).otherwise(F.col("id") == F.col("lead.id"))
+    return rows.select(F.col("id").alias(key), "n_shingles", component.alias("component_id"), F.coalesce(kept, F.lit(False)).alias("kept"))
+
+
+def without_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """One row of each group, the first of its smallest id, and all rows with an empty set; judged by row, not by id.
+
+    The rows come back by id and text; of rows equal in both, the first by the other columns stays.
+    """
+    rows = _groups(df, key, text, shingle, percent)
+    alone = F.col("node").isNull().alias("__alone")
+    leads = rows.where(F.col("node").isNull() | (F.col("row") == F.col("lead.row"))).select(F.col("id").alias("__id"), F.col("first").alias("__a"), F.col("second").alias("__b"), alone).distinct()
+    marked = df.select("*", *[c.alias(f"__{n}") for c, n in zip(_whole(text), ("first", "second"), strict=True)])
+    same = F.col(key).eqNullSafe(F.col("__id")) & (F.col("__first") == F.col("__a")) & (F.col("__second") == F.col("__b"))
+    others = [F.col(c).asc_nulls_first() for c in df.columns if c not in (key, text)]
+    among = Window.partitionBy("__id", "__a", "__b").orderBy(*others) if others else Window.partitionBy("__id", "__a", "__b").orderBy("__a")
+    placed = marked.join(leads, same).withColumn("__place", F.row_number().over(among))
+    return placed.where(F.col("__alone") | (F.col("__place") == 1)).select(*df.columns)

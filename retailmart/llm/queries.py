@@ -11,7 +11,7 @@ from retailmart.llm import chat, langid, licenses, minhash, mixing, packing, pii
 from retailmart.llm.follow import followed
 from retailmart.llm.oracle import ORACLE  # noqa: F401
 from retailmart.llm.text import filled
-from retailmart.sources.scratch import shared_folder, written
+from retailmart.sources.scratch import removed_at_end, shared_folder, written
 
 KEY = "demonstration key"  # a real run passes its own secret
 
@@ -46,10 +46,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = followed(docs, "doc_id", ["doc_id", "text"])
     n, cut = F.char_length("text"), F.floor(F.char_length("text") / 4).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.col("next_text"), F.lit(1), cut))
-    pairs = pairs.select("doc_id", "next_doc_id", n.cast("bigint").alias("n_chars"), "text", edited.alias("edited"))
+    # rows may repeat an id and a text: each is its own key; their order, and so the number, is the same in every attempt of a task
+    pairs = pairs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "next_doc_id", n.cast("bigint").alias("n_chars"), "text", edited.alias("edited"))
     both = F.array(F.struct(F.lit(0).alias("side"), F.col("text")), F.struct(F.lit(1).alias("side"), F.col("edited").alias("text")))
-    sides = pairs.select("doc_id", "next_doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.explode(both).alias("s"))
-    keys = ["doc_id", "next_doc_id", "n_chars", "edited_sha256"]
+    sides = pairs.select("row", "doc_id", "next_doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.explode(both).alias("s"))
+    keys = ["row", "doc_id", "next_doc_id", "n_chars", "edited_sha256"]
     marked = simhash.fingerprints(sides.select(*keys, "s.side", "s.text"), [*keys, "side"])
     side = lambda i: F.max(F.when(F.col("side") == i, F.col("fingerprint")))
     prints = written(marked.groupBy(*keys).agg(side(0).alias("own"), side(1).alias("changed")), "prints")
@@ -88,7 +89,7 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learnt from those that are not held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
     model = langid.train(docs.where(~held_out), "doc_id", "text", "lang")
     return langid.identify(docs, model).withColumn("held_out", held_out)
 
@@ -110,6 +111,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC files and read back."""
     folder = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    removed_at_end(spark, folder)
     read = warc.read_archives(spark, folder)
     return read.select(F.col("id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("bigint").alias("refers_to"))
 

@@ -116,11 +116,34 @@ def test_many_copies_of_one_original(documents):
 
 def test_odd_rows_of_near_duplicates(documents):
     rows = [(5, "a b c d e f"), (5, "a b c d e f"), (5, "other text of the same id"), (None, "a b c d e f"), (3, "a b c d e f"), (None, None)]
+    rows += [(None, "nobody names this text here"), (None, "nobody names this text here"), (None, "nor this other one at all")]
     got = sorted(((r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(documents(*rows)).collect()), key=repr)
-    assert got == sorted([(5, 3, False), (5, 3, False), (5, 5, True), (None, 3, False), (3, 3, True), (None, None, False)], key=repr)
+    # a row without id is kept if nothing with an id is like it, once a group
+    nobody = [(None, None, True), (None, None, True), (None, None, False), (None, None, True)]
+    assert got == sorted([(5, 3, False), (5, 3, False), (5, 5, True), (None, 3, False), (3, 3, True), *nobody], key=repr)
     assert minhash.near_duplicates(documents().limit(0)).count() == 0
 
 
+def test_rows_without_duplicates(documents):
+    """By row: repeated rows of one id leave one, and a rejected text does not return with another text of its id."""
+    rows = [(5, "a b c d e f", "x"), (5, "other text of the same id", "x"), (3, "a b c d e f", "y"), (3, "a b c d e f", "x"), (3, "a b c d e f", "x"), (7, None, "x"), (7, None, "x")]
+    rows += [(None, "nobody names this text here", "x"), (None, "nobody names this text here", None), (None, "nor this other one at all", "x"), (4, "a b c d e f", "x")]
+    df = documents(*rows, extra=("first", "node"))
+    left = minhash.without_duplicates(df)
+    assert left.columns == df.columns
+    got = sorted(((r.doc_id, r.text, r.source) for r in left.collect()), key=repr)
+    want = [(5, "other text of the same id", "x"), (3, "a b c d e f", "x"), (7, None, "x"), (7, None, "x"), (None, "nobody names this text here", None), (None, "nor this other one at all", "x")]
+    assert got == sorted(want, key=repr)
+    assert minhash.without_duplicates(df.limit(0)).count() == 0
+
+
+def test_repeated_rows_keep_their_fingerprints(spark, documents, tmp_path):
+    rows = [(1, "a b c d e f g h"), (1, "a b c d e f g h"), (1, "a b c d e f g h"), (1, "a b c d e f X Y"), (2, "z"), (None, None)]
+    documents(*rows).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["op2_simhash"](spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) and sorted(r.doc_id or 0 for r in got) == [0, 1, 1, 1, 1, 2]
+
+
 def test_signatures_estimate_likeness():
     rng = random.Random(4)
     cache = sketches.WordHashes()
@@ -299,3 +322,12 @@ def test_op7_and_op6_on_the_small_table(spark):
     told = QUERIES["op6_language"](spark, SMALL).join(spark.read.parquet(f"{SMALL}/documents.parquet"), "doc_id").where("held_out")
     right, n = told.agg(F.count_if(F.col("lang") == F.col("lang_pred")), F.count("*")).first()
     assert n > 30 and right >= 0.97 * n
+
+
+def test_archives_are_read_and_written_by_many_tasks(spark, tmp_path):
+    """As many reading tasks as files, however small they are."""
+    pages = spark.range(400).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.expr("repeat(sha2(cast(id as string), 512), 30)").alias("html"))
+    manifest = warc.write_archives(pages, str(tmp_path / "w"), roll=20_000)
+    files = manifest.count()
+    read = warc.read_archives(spark, str(tmp_path / "w")).withColumn("task", F.spark_partition_id())
+    assert files >= 8 and read.count() == 400 and read.select("task").distinct().count() >= 0.7 * files
