@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from retailmart.llm import minhash, mixing, pii, quality, segment
 from retailmart.llm.queries import KEY, vocabulary_file
-from retailmart.sources.scratch import shared_folder
+from retailmart.sources.scratch import removed_at_end, shared_folder
 
 DOCUMENTS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -26,12 +26,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five words, 0.8): the one with the smallest id.
-
-    Of rows that repeat an id, those stay that repeat the row itself.
-    """
-    kept = minhash.near_duplicates(docs.select(*DOCUMENTS)).where("kept").select(F.col("doc_id").alias("__id")).distinct()
-    return _documents(docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi"))
+    """One row of each group of near-duplicates (five words, 0.8): the first of its smallest id."""
+    return _documents(minhash.without_duplicates(docs.select(*DOCUMENTS)))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,6 +63,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
+        removed_at_end(spark, path)
         docs = spark.read.parquet(path)
     return docs
 
