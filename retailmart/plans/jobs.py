@@ -191,18 +191,18 @@ def read_star(spark: SparkSession, target: str) -> StoredStar:
     return StoredStar(tables, tables.by_month)
 
 
-def build_marts(spark: SparkSession, target: str) -> dict[str, int]:
+def build_marts(spark: SparkSession, target: str, anew: bool = False) -> dict[str, int]:
     """Write the six marts of the latest star as a new run and publish it; returns rows per mart.
 
     Sales are summed per key first, and the sums are stored. If the star has only grown since the last run, just the sales
     that were added are summed and stored beside the earlier sums; the marts are made from all of them, which are
-    one row per key and batch instead of the fact. The run notes the star it was made from.
+    one row per key and batch instead of the fact. ``anew`` sums all sales again. The run notes the star it was made from.
     """
     stars, store = Store(spark, target, "star"), Store(spark, target, "marts")
     star, before = stars.commit(), store.last_commit()
     sales = star.parts["fact_sales"]
     covered = before.notes.get("sales", []) if before else []
-    if not covered or not set(covered) <= set(sales):
+    if anew or not covered or not set(covered) <= set(sales):
         before, covered = None, []
     run = store.new_run(before)
     tables = _Tables(stars, star)
