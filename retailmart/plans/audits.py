@@ -5,7 +5,7 @@ from __future__ import annotations
 from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retailmart.functions.dates import CALENDAR_FIRST_DAY, CALENDAR_LAST_DAY, parse_date
@@ -16,6 +16,8 @@ from retailmart.plans.marts import MART_PLANS
 from retailmart.plans.star import StagingReader, Star, primary_key
 from retailmart.schemas import MART_WISHES, PRECISIONS, REFERENCES, REQUIRED, STAR, TEXT_LENGTHS, UNIQUE
 
+EMPTY = "empty"
+
 
 def _named(df: DataFrame, **labels: str) -> DataFrame:
     return df.select(*[F.lit(v).alias(k) for k, v in labels.items()], "*")
@@ -51,6 +53,79 @@ def references(star: Star) -> DataFrame:
     return _all(parts)
 
 
+def at_once(star: Star, kinds: tuple[str, ...] = ("unique", "reference", "required")) -> DataFrame:
+    """``kind, table_name, column_name, checked, broken``: keys, references and required columns of all tables in one pass.
+
+    Each table is read once, with the columns that its checks need. A row gives one (check, key) per check,
+    a parent's row one for each reference to it, and all go through one shuffle, summed per task before, so that a
+    hot key weighs one row per task. Per check, ``broken`` counts repeated keys of ``checked`` distinct ones, orphans of
+    filled references, or empty cells of rows. A unique key has no column name.
+    """
+    checks = [("unique", t, None, k) for t, k in UNIQUE.items()]
+    checks += [("reference", child, column, parent) for child, column, parent in REFERENCES]
+    checks += [("required", t, c, None) for t, columns in REQUIRED.items() for c in columns]
+    checks = [c for c in checks if c[0] in kinds]
+
+    def seen(number: int, key: Column, held: int) -> Column:
+        return F.struct(F.lit(number).alias("check"), key.alias("key"), F.lit(held).cast("bigint").alias("held"))
+
+    found: dict[str, list[Column]] = {}
+    needed: dict[str, list[str]] = {}
+    for number, (kind, table, column, more) in enumerate(checks):
+        if kind == "unique":
+            found.setdefault(table, []).append(seen(number, _as_text(*more), 1))
+            needed.setdefault(table, []).extend(more)
+        elif kind == "required":
+            found.setdefault(table, []).append(seen(number, F.when(F.col(column).isNull(), EMPTY).otherwise("filled"), 1))
+            needed.setdefault(table, []).append(column)
+        else:
+            key = primary_key(more)
+            filled = F.when(F.col(column).isNotNull(), _as_text(F.col(column).alias("key")))
+            found.setdefault(table, []).append(seen(number, filled, 1))
+            needed.setdefault(table, []).append(column)
+            found.setdefault(more, []).append(seen(number, _as_text(F.col(key).alias("key")), 0))
+            needed.setdefault(more, []).append(key)
+    rows = [
+        star.table(t, *dict.fromkeys(needed[t])).select(F.inline(F.array(*seen_here))).where("key is not null")
+        for t, seen_here in found.items()
+    ]
+    keys = _all(rows).groupBy("check", "key").agg(F.sum("held").alias("held"), F.min("held").alias("least"))
+    # a key that a parent's row has shows by the row's zero
+    orphan = F.sum(F.when(F.col("least") > 0, F.col("held")))
+    sums = keys.groupBy("check").agg(
+        F.count("*").alias("distinct"), F.count_if(F.col("held") > 1).alias("repeated"), F.sum("held").alias("held"),
+        orphan.alias("orphans"), F.sum(F.when(F.col("key") == EMPTY, F.col("held"))).alias("empty"),
+    )
+    names = F.array(*[
+        F.struct(F.lit(n).alias("check"), F.lit(kind).alias("kind"), F.lit(t).alias("table_name"), F.lit(c).cast("string").alias("column_name"))
+        for n, (kind, t, c, _) in enumerate(checks)
+    ])
+    labels = sums.sparkSession.range(1).select(F.inline(names))
+    unique = F.col("kind") == "unique"
+    broken = F.when(unique, F.col("repeated")).when(F.col("kind") == "reference", F.col("orphans")).otherwise(F.col("empty"))
+    return labels.join(sums, "check", "left").select(
+        "kind", "table_name", "column_name",
+        F.coalesce(F.when(unique, F.col("distinct")).otherwise(F.col("held")), F.lit(0)).alias("checked"),
+        F.coalesce(broken, F.lit(0)).alias("broken"),
+    )
+
+
+def _as_text(*columns) -> Column:
+    """A key as text that tells NULL from empty and one part from the next."""
+    return F.to_json(F.struct(*columns))
+
+
+def references_at_once(star: Star) -> DataFrame:
+    """As ``references``, each table read once."""
+    return at_once(star, ("reference",)).select("table_name", "column_name", "checked", F.col("broken").alias("orphans"))
+
+
+def unique_keys_at_once(star: Star) -> DataFrame:
+    """As ``unique_keys``, all tables through one shuffle."""
+    found = at_once(star, ("unique",))
+    return found.select("table_name", F.col("checked").alias("distinct_keys"), F.col("broken").alias("repeated_keys"))
+
+
 def required_columns(star: Star) -> DataFrame:
     """``table_name, column_name, checked, nulls`` of every column that must be filled."""
     return _all([_named(null_counts(star.table(t, *c), c), table_name=t) for t, c in REQUIRED.items()])

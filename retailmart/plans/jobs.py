@@ -14,7 +14,17 @@ from retailmart.operators.contract import enforce
 from retailmart.plans.marts import MART_PLANS
 from retailmart.plans.star import MEASURES, SALE_MONTH, DerivedStar, GrownStar, StagingReader, StoredStar, SummedStar
 from retailmart.schemas import MART_ORDER, MARTS, STAGING, STAR, SUMS
-from retailmart.sources.csv_files import FILE_NUMBER, FILE_PATTERN, ID_STRIDE, check_stride, ingest_csv, require_rows
+from retailmart.sources.csv_files import (
+    FILE_NUMBER,
+    FILE_PATTERN,
+    ID_STRIDE,
+    REJECTS,
+    check_stride,
+    ingest_csv,
+    ingest_tolerant,
+    require_rows,
+    require_share,
+)
 from retailmart.sources.jdbc import Database
 from retailmart.sources.store import Commit, Conflict, Store
 
@@ -48,23 +58,34 @@ def stored_staging(spark: SparkSession, path: str) -> StagingReader:
     return read
 
 
-def ingest(spark: SparkSession, folder: str, target: str, append: bool = False, **options) -> StagingReader:
+def ingest(spark: SparkSession, folder: str, target: str, append: bool = False, tolerate: float | None = None, **options) -> StagingReader:
     """CSV files to stored staging, once, so that no later step parses text again; returns a reader of all of it.
 
     Staging is published like star and marts: a build that still reads the last one goes on
     undisturbed, and a failed ingest is never seen. ``append`` adds the files to staging as a batch of its own. Identifiers
-    that collide between files are an error.
+    that collide between files are an error. So are faulty lines, unless ``tolerate`` names the share of lines that may
+    be: they are then stored and published with the batch (``rejected_lines``).
     """
+    if tolerate is not None:
+        found = ingest_tolerant(spark, folder, **options)
+        return add_staging(spark, found.rows, target, append, options.get("stride", ID_STRIDE), found.rejects, tolerate)
     rows = require_rows(ingest_csv(spark, folder, **options))
     return add_staging(spark, rows, target, append, options.get("stride", ID_STRIDE))
 
 
-def add_staging(spark: SparkSession, rows: DataFrame, target: str, append: bool = True, stride: int | None = None) -> StagingReader:
-    """Store staging rows as a batch, beside the earlier ones or in their place."""
+def add_staging(
+    spark: SparkSession, rows: DataFrame, target: str, append: bool = True, stride: int | None = None,
+    rejects: DataFrame | None = None, tolerate: float = 0.0,
+) -> StagingReader:
+    """Store staging rows as a batch, beside the earlier ones or in their place, and the lines rejected on the way."""
     store = Store(spark, target, "staging")
     before = store.last_commit() if append else None
     run = store.new_run(before)
-    store.write(rows, run, "rows")
+    kept = store.write(rows, run, "rows")
+    if rejects is not None:
+        require_share(store.write(rejects, run, "rejects"), kept, tolerate)
+        if not kept:
+            raise ValueError("staging is empty")
     if stride:
         check_stride(store.read(run, "rows", STAGING), stride)
     store.publish(run, before)
@@ -77,6 +98,12 @@ def latest_staging(spark: SparkSession, target: str) -> StagingReader:
     return _reader(store, store.commit().parts["rows"])
 
 
+def rejected_lines(spark: SparkSession, target: str) -> DataFrame:
+    """``file_path, line, reason, record`` of the lines that the published batches of staging leave out."""
+    store = Store(spark, target, "staging")
+    return store.read_parts(store.commit().parts.get("rejects", []), REJECTS)
+
+
 def _reader(store: Store, parts: list[str]) -> StagingReader:
     rows = store.read_parts(parts, STAGING)
     return lambda *columns: rows.select(*columns)
@@ -289,13 +316,15 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--stride", type=int, default=ID_STRIDE, help="what a file's number shifts identifiers by; at least the rows of a file")
     parser.add_argument("--mixed-headers", action="store_true", help="files may lack columns or order them differently")
     parser.add_argument("--multi-line", action="store_true", help="quoted cells may hold line breaks")
+    parser.add_argument("--tolerate", type=float, help="share of lines that may be faulty; they are stored as rejects, and headers may differ")
     parser.add_argument("--append", action="store_true", help="add to staging, star and marts instead of building them anew")
     parser.add_argument("--job", choices=("transform", "reports", "both"), default="both")
     options = parser.parse_args(arguments)
 
     spark = SparkSession.builder.appName("retailmart").getOrCreate()
     if options.csv:
-        names = ("append", "pattern", "number", "stride", "mixed_headers", "multi_line")
+        names = ["append", "pattern", "number", "stride"]
+        names += ["mixed_headers", "multi_line"] if options.tolerate is None else ["tolerate"]
         ingest(spark, options.csv, options.target, **{n: getattr(options, n) for n in names})
     done = update(spark, options.target, options.job) if options.append else run(spark, latest_staging(spark, options.target), options.target, options.job)
     for name, rows in done.items():

@@ -31,13 +31,14 @@ from retailmart.plans.star import (
     store_locations,
     stores,
 )
-from retailmart.schemas import STAR
-from retailmart.sources.csv_files import ingest_csv, offset_ids
-from retailmart.sources.scratch import shared_folder
+from retailmart.schemas import STAGING, STAR
+from retailmart.sources.csv_files import ingest_csv, ingest_tolerant, offset_ids
+from retailmart.sources.scratch import removed_at_end, shared_folder
 from retailmart.sources.store import Store
 from retailmart.trial.staging import staging, trial_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
+LEFT_OUT = ("pet_category", "product_description", "supplier_contact")  # columns that one header lacks
 
 
 def reader(spark: SparkSession, sf_dir: str) -> StagingReader:
@@ -68,9 +69,55 @@ def _ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir).withColumn("file", F.col("sale_seller_id") % 3)
     writer = rows.write.partitionBy("file").option("header", True)
     writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+    removed_at_end(spark, folder)
     return ingest_csv(spark, folder, pattern="file=*", number="file=([0-9]+)")
 
 
+# a line with a cell too many, and cells that their column cannot hold, by remainders of the identifier
+FAULTY_LINES, FAULTY_CELLS = (107, 3), {"product_price": (103, 5, "1.2.3"), "sale_quantity": (101, 7, "many")}
+
+
+def _faulty_files(spark: SparkSession, sf_dir: str) -> str:
+    """Staging as three numbered groups of CSV files with faulty lines; their folder."""
+    folder = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    rows = read(spark, sf_dir)
+    cells = [F.col(c).cast("string").alias(c) for c in STAGING.names]
+    for name, (of, left, text) in FAULTY_CELLS.items():
+        cells[STAGING.names.index(name)] = F.when(F.col("id") % of == left, text).otherwise(F.col(name).cast("string")).alias(name)
+    line = F.to_csv(F.struct(*cells), {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"})
+    of, left = FAULTY_LINES
+    line = F.concat(line, F.when(F.col("id") % of == left, ",more").otherwise(""))
+    # the whole line is one cell under the whole header
+    rows = rows.select(line.alias(",".join(STAGING.names)), (F.col("sale_seller_id") % 3).alias("file"))
+    writer = rows.write.partitionBy("file").option("header", True).option("sep", "\u0001").option("quote", "")
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+    removed_at_end(spark, folder)
+    return folder
+
+
+def _ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows kept and lines rejected, by reason, with the sum of their identifiers (kept ones moved by their file)."""
+    found = ingest_tolerant(spark, _faulty_files(spark, sf_dir), pattern="file=*", number="file=([0-9]+)")
+    kept = found.rows.agg(F.lit("kept").alias("reason"), F.count("*").alias("row_count"), F.sum("id").alias("ids"))
+    own = F.split("record", ",")[0].cast("bigint")
+    lines = found.rejects.groupBy("reason", "file_path", "line").agg(F.count("*").alias("n"), F.sum(own).alias("ids"))
+    # a line that had two numbers, or a number that two lines had, would show in the counts
+    return kept.unionByName(lines.groupBy("reason").agg(F.count_if(F.col("n") == 1).alias("row_count"), F.sum("ids").alias("ids")))
+
+
+def _ingest_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staging written with three headers (all columns, reversed, some left out), read back by name."""
+    folder = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
+    names = STAGING.names
+    headers = (names, names[::-1], [c for c in names if c not in LEFT_OUT])
+    for number, header in enumerate(headers):
+        rows = read(spark, sf_dir).where(F.col("sale_seller_id") % 3 == number).select(*header)
+        writer = rows.write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+        writer.option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/file={number}")
+    removed_at_end(spark, folder)
+    return ingest_csv(spark, folder, pattern="file=*", number="file=([0-9]+)", mixed_headers=True)
+
+
 def _ingest_id_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.col("sale_seller_id") % 4
     name = F.when(number == 0, "MOCK_DATA.csv").otherwise(F.concat(F.lit("MOCK_DATA ("), number, F.lit(").csv")))
@@ -305,6 +352,7 @@ def stored(spark: SparkSession, sf_dir: str) -> str:
 def _run_jobs(spark: SparkSession, sf_dir: str) -> str:
     target = f"{shared_folder(spark)}/target-{uuid.uuid4().hex}"
     run(spark, add_staging(spark, reader(spark, sf_dir)(), target), target)
+    removed_at_end(spark, target)
     return target
 
 
@@ -321,6 +369,7 @@ def grown(spark: SparkSession, sf_dir: str) -> str:
         for half in (F.col("id") < middle, F.col("id") >= middle):
             add_staging(spark, rows.where(half), target)
             update(spark, target)
+        removed_at_end(spark, target)
         _GROWN[key] = target
     return _GROWN[key]
 
@@ -388,6 +437,8 @@ def _on_faulty(plan: Callable) -> Query:
 QUERIES: dict[str, Query] = {
     "ingest_csv": _ingest_csv,
     "ingest_id_offset": _ingest_id_offset,
+    "ingest_mixed_headers": _ingest_mixed_headers,
+    "ingest_rejects": _ingest_rejects,
     "clean_trim": _clean_trim,
     "clean_email": _clean_email,
     "clean_blank_to_null": _clean_blank_to_null,
@@ -420,7 +471,8 @@ QUERIES: dict[str, Query] = {
     "mart_counts": _on_star(audits.mart_counts, *MART_KEYS),
     "dq_mart_nulls": _on_star(audits.mart_gaps, *MART_KEYS),
     "dq_unique": _on_star(audits.unique_keys),
-    "dq_fk": _on_star(audits.references),
+    "dq_fk": _stored_star(audits.references_at_once),
+    "dq_at_once": _stored_star(audits.at_once),
     "dq_not_null": _on_star(audits.required_columns),
     "dq_length": _on_star(audits.text_lengths),
     "dq_overflow": _on_star(audits.overflows),
@@ -432,8 +484,9 @@ QUERIES: dict[str, Query] = {
     **{f"grown_{name.removeprefix('dimension_')}": _grown_table(name) for name in [*KEY_ORDER, "fact_sales"]},
     **{f"grown_{name.removeprefix('report_')}": _grown_mart(name) for name in MART_PLANS},
     "grown_keys": _grown_keys,
-    "faulty_unique": _on_faulty(audits.unique_keys),
-    "faulty_fk": _on_faulty(audits.references),
+    "faulty_unique": _on_faulty(audits.unique_keys_at_once),
+    "faulty_fk": _on_faulty(audits.references_at_once),
+    "faulty_at_once": _on_faulty(audits.at_once),
     "faulty_not_null": _on_faulty(audits.required_columns),
     "faulty_length": _on_faulty(audits.text_lengths),
     "faulty_overflow": _on_faulty(audits.overflows),

@@ -5,6 +5,7 @@ from conftest import SMALL, rows_of
 
 from retailmart.operators.dedup import first_by
 from retailmart.plans.star import customers, products, sales
+from retailmart.schemas import STAR
 from retailmart.trial.queries import QUERIES, reader
 
 
@@ -59,3 +60,10 @@ def test_first_rows_with_ties_and_nulls(spark):
     df = spark.createDataFrame(rows, "k string, id int, v string").repartition(3)
     assert rows_of(first_by(df, ["k"], ["id"])) == sorted([("a", 1, "y"), (None, None, None), ("b", None, "t"), ("c", 1, None)], key=repr)
     assert rows_of(first_by(df, ["k"], ["v", "id"])) == sorted([("a", 2, "x"), (None, None, None), ("b", None, "t"), ("c", 1, None)], key=repr)
+
+
+@pytest.mark.parametrize("name", ["dq_fk", "dq_at_once"])
+def test_checks_read_each_stored_table_once(spark, name):
+    text = plan(QUERIES[name](spark, SMALL))
+    assert text.count("FileScan parquet") == len(STAR) and "Batched: true" in text
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
