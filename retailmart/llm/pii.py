@@ -1,9 +1,9 @@
 """Format-preserving pseudonyms for personal data in text.
 
-Finds e-mail addresses, card numbers, phone numbers, IPv4 addresses, calendar dates
-and secret tokens, validates them (check digit, octets, real dates), and replaces
+Finds e-mail addresses, card numbers, bank accounts (IBAN), phone numbers, IPv4 addresses, calendar dates
+and secret tokens, validates them (check digits, octets, real dates), and replaces
 each by a keyed permutation within its format: digits stay digits, a card keeps a valid check
-digit, a date stays a date. Equal values give equal pseudonyms in every document, also
+digit, a date stays a date, a letter stays in its script. Equal values give equal pseudonyms in every document, also
 where the punctuation of a number differs.
 
 The permutation is a balanced Feistel network over positions of any radix. Half the
@@ -26,19 +26,41 @@ ROUNDS = 10
 FIRST_DAY, CYCLE = "1700-01-01", (189, 773)
 
 # fixed values: what a candidate of each kind looks like; the order decides where two fit
+BETWEEN = r"(?: {1,2}|[.-])"  # what may stand between the groups of a card
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\.)++[A-Za-z]{2,63}",
+    "email": r"(?<![\p{L}\p{M}\p{N}._%+-])[\p{L}\p{M}\p{N}._%+-]{1,64}+@(?:[\p{L}\p{M}\p{N}-]{1,63}+\.)++[\p{L}\p{M}]{2,63}",
     "secret": r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}+|[0-9A-F]{32,128}+)(?![0-9A-Za-z])",
+    "iban": r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4})(?: (?=[A-Z]{0,3}\d)[A-Z0-9]{4}){1,6}(?: (?=[A-Z]{0,2}\d)[A-Z0-9]{1,3})?)(?![\p{L}\p{N}])",
     "ip": r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)",
     "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\d]|[./-]\d)",
     "phone": r"(?<![\d\p{L}+])(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]?\d{2,4}){2,3}|\(\d{3}\) ?\d{3}[ -]\d{4}|\d{3}-\d{3}-\d{4})(?![\d]|-\d)",
-    "card": r"(?<![\d])\d(?:[ -]?\d){12,}+",  # a run of numbers, in which cards are looked for
+    "card": rf"(?<![\d])\d(?:{BETWEEN}?\d){{12,}}+",  # a run of numbers, in which cards are looked for
 }
 KINDS = tuple(PATTERNS)
 ANY = "|".join(f"(?:{p})" for k, p in PATTERNS.items() if k != "card")
-# the usual groups of a card are tried before any others
-USUAL = r"^(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}([ -])\d{6}\2\d{5})$"
-LOWER = "abcdefghijklmnopqrstuvwxyz"
+# fixed values: the groups of a card, the usual ones first; longest first among the others
+SHAPES = (
+    r"^\d{4}( {1,2}|[.-])\d{4}\1\d{4}\1\d{4}(?:\1\d{3})(?!\d)",
+    r"^\d{4}( {1,2}|[.-])\d{4}\1\d{4}\1\d{4}(?!\d)",
+    r"^\d{4}( {1,2}|[.-])\d{6}\1\d{4,5}(?!\d)",
+    r"^\d{13,19}(?!\d)",
+    *(rf"^\d(?:(?: {{1,2}}|-)?\d){{{size - 1}}}(?!\d)" for size in range(19, 12, -1)),
+)
+USUAL = r"^(?:\d{13,19}|\d{4}( {1,2}|[.-])\d{4}\1\d{4}\1\d{4}(?:\1\d{3})?|\d{4}( {1,2}|[.-])\d{6}\2\d{4,5})$"
+ODD = r"^(?:(?:\d{4}|\d{6}|\d{8}|\d{12})(?: {1,2}|-))+\d{1,13}$"
+FIRST_GROUP = r"^(?:\d{4}|\d{6}|\d{8}|\d{12,19})$"
+YEARS = r"^(?:(?:19|20)\d\d\D*)+$"
+# fixed values: first digits and lengths of cards by issuer
+ISSUED = (
+    r"^(?:4\d{12}(?:\d{3}){0,2}|5[1-5]\d{14}|2(?:22[1-9]|2[3-9]\d|[3-6]\d\d|7[01]\d|720)\d{12}|3[47]\d{13}|3(?:0[0-5]|[689]\d)\d{11}"
+    r"|35(?:2[89]|[3-8]\d)\d{12}|6(?:011|4[4-9]\d|5\d\d)\d{12}(?:\d{3})?|62\d{14,17})$"
+)
+# fixed values: first code point and number of the digits and lower-case letters of common scripts
+ALPHABETS = (
+    (0x30, 10), (0x61, 26), (0xE0, 23), (0xF8, 8), (0x100, 128), (0x180, 208), (0x3B1, 25), (0x430, 48), (0x561, 38), (0x5D0, 27),
+    (0x620, 43), (0x904, 54), (0xE01, 48), (0x3041, 86), (0x30A1, 90), (0x4E00, 20992), (0xAC00, 11172),
+)
+BLOCK = 64  # code points that other letters are permuted within
 
 
 def _let(value: Column, use) -> Column:
@@ -149,17 +171,75 @@ def _secret(m: Column, key: str) -> Column:
     return F.when(upper, F.upper(out)).otherwise(out)
 
 
+def _remainder(chars: Column) -> Column:
+    """The remainder by 97 of characters read as numbers, A as 10."""
+
+    def put(rest: Column, c: Column) -> Column:
+        return F.when(c.between("0", "9"), (rest * 10 + c.cast("int")) % 97).otherwise((rest * 100 + F.ascii(c) - 55) % 97)
+
+    return F.aggregate(chars, F.lit(0), put)
+
+
+def _account(m: Column) -> Column:
+    """The characters of an account number, country and check digits last."""
+    return _let(_letters(F.replace(m, F.lit(" "))), lambda c: F.concat(F.slice(c, F.lit(5), F.size(c)), F.slice(c, 1, 4)))
+
+
+def _iban(m: Column, key: str) -> Column:
+    """The account is permuted, digits among digits; the country stays and the check digits are made anew."""
+    country = F.substr(m, F.lit(1), F.lit(2))
+    plain = F.slice(_account(m), F.lit(1), F.char_length(F.replace(m, F.lit(" "))) - 4)
+
+    def moved(chars: Column) -> Column:
+        radices = F.transform(chars, lambda c: F.when(c.between("0", "9"), 10).otherwise(26))
+        values = F.transform(chars, lambda c: F.when(c.between("0", "9"), F.ascii(c) - 48).otherwise(F.ascii(c) - 65))
+        new = feistel(values, radices, F.concat(F.lit("iban"), country), key)
+        return F.zip_with(new, radices, lambda x, r: F.when(r == 10, x.cast("string")).otherwise(F.chr(x + 65)))
+
+    def checked(chars: Column) -> Column:
+        check = F.lit(98) - _remainder(F.concat(chars, _letters(F.concat(country, F.lit("00")))))
+        return F.concat(_letters(F.concat(country, F.lpad(check.cast("string"), 2, "0"))), chars)
+
+    return _let(_let(_let(plain, moved), checked), lambda c: _masked(m, c, "0-9A-Z"))
+
+
+def _place(c: Column) -> Column:
+    """Where a character stands: the first code point and the number of those it is permuted among, itself if it is no letter."""
+    point = F.ascii(c)
+
+    def among(first, number) -> Column:
+        return F.struct(F.lit(first).cast("int").alias("first") if isinstance(first, int) else first.cast("int").alias("first"), F.lit(number).alias("radix"))
+
+    out = F.when(c.rlike(r"^[\p{L}\p{N}]$"), among(point - point % BLOCK, BLOCK)).otherwise(among(point, 1))
+    for first, number in reversed(ALPHABETS):
+        out = F.when(point.between(first, first + number - 1), among(first, number)).otherwise(out)
+    return out
+
+
+def _character(point: Column) -> Column:
+    return F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+
+
 def _email(m: Column, key: str) -> Column:
-    """Letters and digits of the local part are permuted; other characters, case and domain stay."""
+    """Letters and digits of the local part are permuted within their alphabets; other characters, case and domain stay."""
     local, domain = F.substring_index(m, "@", 1), F.substring_index(m, "@", -1)
-    plain = _letters(F.regexp_replace(F.lower(local), "[^a-z0-9]", ""))
-    values = F.transform(plain, lambda c: F.when(c.between("0", "9"), F.instr(F.lit("0123456789"), c) - 1).otherwise(F.instr(F.lit(LOWER), c) - 1))
-    radices = F.transform(plain, lambda c: F.when(c.between("0", "9"), 10).otherwise(26))
-    moved = feistel(values, radices, F.concat(F.lit("email@"), F.lower(domain)), key)
-    chars = F.zip_with(moved, radices, lambda x, r: F.when(r == 10, x.cast("string")).otherwise(F.substr(F.lit(LOWER), x + 1, F.lit(1))))
-    renamed = _let(chars, lambda c: _masked(F.lower(local), c, "a-z0-9"))
-    cased = F.concat_ws("", F.zip_with(_letters(local), _letters(renamed), lambda a, b: F.when(a.rlike("^[A-Z]$"), F.upper(b)).otherwise(b)))
-    return F.concat(cased, F.lit("@"), domain)
+
+    def small(c: Column) -> Column:
+        return F.when(F.char_length(F.lower(c)) == 1, F.lower(c)).otherwise(c)
+
+    def renamed(chars: Column) -> Column:
+        def moved(places: Column) -> Column:
+            values = F.zip_with(chars, places, lambda c, p: F.ascii(small(c)) - p["first"])
+            new = feistel(values, F.transform(places, lambda p: p["radix"]), F.concat(F.lit("email@"), F.lower(domain)), key)
+            return F.zip_with(new, places, lambda x, p: _character(x + p["first"]))
+
+        def cased(was: Column, now: Column) -> Column:
+            return F.when((was != small(was)) & (F.char_length(F.upper(now)) == 1), F.upper(now)).otherwise(now)
+
+        new = _let(F.transform(chars, lambda c: _place(small(c))), moved)
+        return F.array_join(F.zip_with(chars, new, cased), "")
+
+    return F.concat(_let(_letters(local), renamed), F.lit("@"), domain)
 
 
 def _day(m: Column) -> Column:
@@ -204,6 +284,7 @@ def kind_of(m: Column) -> Column:
     return (
         F.when(m.contains("@"), F.lit("email"))
         .when(m.rlike("^(?:[0-9a-f]{32,}|[0-9A-F]{32,})$"), "secret")
+        .when(m.rlike(f"^(?:{PATTERNS['iban']})$"), F.when(_remainder(_account(m)) == 1, F.lit("iban")))
         .when(m.rlike(f"^(?:{PATTERNS['ip']})$"), F.when(F.forall(octets, lambda x: x <= 255), F.lit("ip")))
         .when(m.rlike(f"^(?:{PATTERNS['date']})$"), F.when(_day(m).isNotNull(), F.lit("date")))
         .when(m.rlike(f"^(?:{PATTERNS['phone']})$"), "phone")
@@ -217,53 +298,53 @@ def _plain(text: Column) -> Column:
 def _cards(run: Column) -> Column:
     """A run of numbers as pieces ``(was, kind)``: its cards, and what stands between.
 
-    Any 13 to 19 digits that begin and end with a number of the run and have a valid check
-    digit are a card; where several overlap, usual groups go first, then the earliest and shortest.
+    A card has 13 to 19 digits and a valid check digit. It is one unbroken number, or groups with the first digits
+    and the length of an issuer's cards: the usual groups, or groups of 4, 6, 8 or 12 digits and a rest. A run that is
+    nothing but the usual groups may be of any issuer, but if all four look like years. Of cards that
+    overlap the first counts. Time is linear in the numbers of the run.
     """
 
-    def ends(numbers: Column) -> Column:
-        start = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<at:int,size:int>>").alias("all"))
-
-        def put(state: Column, x: Column) -> Column:
-            here = F.array(F.struct(state["at"].alias("at"), F.char_length(x).alias("size")))
-            return F.struct((state["at"] + F.char_length(x) + 1).alias("at"), F.concat(state["all"], here).alias("all"))
-
-        return F.aggregate(numbers, start, put, lambda state: state["all"])
+    def found(parts: Column) -> Column:
+        def at(part: Column, i: Column) -> Column:
+            tail = F.array_join(F.slice(parts, i + 1, F.lit(37)), "")
+            first = _let(F.filter(_let(tail, shapes), valid), lambda good: F.get(good, F.lit(0)))
+            return F.struct(i.alias("at"), F.when(part.rlike(FIRST_GROUP), first).alias("was"))
 
-    def windows(numbers: Column) -> Column:
-        def of(a: Column, i: Column) -> Column:
-            def window(b: Column) -> Column:
-                was = F.substr(run, a["at"], b["at"] + b["size"] - a["at"])
-                return F.struct(F.when(was.rlike(USUAL), 0).otherwise(1).alias("rank"), a["at"].alias("at"), F.char_length(was).alias("size"), was.alias("was"))
+        def shapes(tail: Column) -> Column:
+            return F.array(*[F.regexp_extract(tail, shape, 0) for shape in SHAPES])
 
-            return F.filter(F.transform(F.slice(numbers, i + 1, F.lit(19)), window), lambda w: w["was"].rlike(r"^(?:[ -]?\d){13,19}$"))
+        def valid(was: Column) -> Column:
+            digits = F.regexp_replace(was, "[^0-9]", "")
+            issued = digits.rlike(ISSUED) & (was.rlike(USUAL) | was.rlike(ODD))
+            alone = (was == run) & was.rlike(USUAL) & ~was.rlike(YEARS)
+            return (was != "") & (was.rlike(r"^\d+$") | issued | alone) & digits.rlike("[1-9]") & (_check_sum(_digits(was), 1) % 10 == 0)
 
-        return F.flatten(F.transform(numbers, of))
+        return F.filter(F.transform(parts, at), lambda w: w["was"].isNotNull())
 
-    def valid(w: Column) -> Column:
-        return _let(_digits(w["was"]), lambda d: (_check_sum(d, 1) % 10 == 0) & (F.array_max(d) > 0))
-
-    def chosen(found: Column) -> Column:
-        start = F.array().cast("array<struct<at:int,size:int,was:string>>")
+    def chosen(cards: Column) -> Column:
+        start = F.struct(F.lit(0).alias("end"), F.array().cast("array<struct<at:int,end:int,was:string>>").alias("all"))
 
         def put(state: Column, w: Column) -> Column:
-            meets = F.exists(state, lambda c: (c["at"] < w["at"] + w["size"]) & (w["at"] < c["at"] + c["size"]))
-            return F.when(meets, state).otherwise(F.concat(state, F.array(F.struct(w["at"].alias("at"), w["size"].alias("size"), w["was"].alias("was")))))
+            end = w["at"] + F.size(_parts(w["was"]))
+            more = F.struct(w["at"].alias("at"), end.alias("end"), w["was"].alias("was"))
+            return F.when(w["at"] < state["end"], state).otherwise(F.struct(end.alias("end"), F.concat(state["all"], F.array(more)).alias("all")))
 
-        return F.array_sort(F.aggregate(F.array_sort(found), start, put))
+        return F.aggregate(cards, start, put, lambda state: state["all"])
 
-    def pieces(cards: Column) -> Column:
+    def pieces(parts: Column, cards: Column) -> Column:
         def before(c: Column, i: Column) -> Column:
-            last = F.get(cards, i - 1)
-            at = F.coalesce(last["at"] + last["size"], F.lit(1))
-            return F.array(_plain(F.substr(run, at, c["at"] - at)), F.struct(c["was"].alias("was"), F.lit("card").alias("kind")))
+            end = F.coalesce(F.get(cards, i - 1)["end"], F.lit(0))
+            return F.array(_plain(F.array_join(F.slice(parts, end + 1, c["at"] - end), "")), F.struct(c["was"].alias("was"), F.lit("card").alias("kind")))
+
+        end = F.coalesce(F.get(cards, F.size(cards) - 1)["end"], F.lit(0))
+        return F.concat(F.flatten(F.transform(cards, before)), F.array(_plain(F.array_join(F.slice(parts, end + 1, F.size(parts)), ""))))
+
+    return _let(_parts(run), lambda parts: _let(_let(found(parts), chosen), lambda cards: pieces(parts, cards)))
 
-        last = F.get(cards, F.size(cards) - 1)
-        at = F.coalesce(last["at"] + last["size"], F.lit(1))
-        return F.concat(F.flatten(F.transform(cards, before)), F.array(_plain(F.substr(run, at, F.char_length(run)))))
 
-    found = _let(_let(F.split(run, "[ -]"), ends), windows)
-    return _let(_let(F.filter(found, valid), chosen), pieces)
+def _parts(run: Column) -> Column:
+    """Numbers and what stands between them."""
+    return F.regexp_extract_all(run, F.lit(r"\d+|\D+"), F.lit(0))
 
 
 def _split_cards(text: Column) -> Column:
@@ -274,7 +355,7 @@ def _split_cards(text: Column) -> Column:
 
 
 def pseudonym(m: Column, kind: Column, key: str) -> Column:
-    made = {"email": _email, "secret": _secret, "ip": _ip, "date": _date, "phone": _phone, "card": _card}
+    made = {"email": _email, "secret": _secret, "iban": _iban, "ip": _ip, "date": _date, "phone": _phone, "card": _card}
     out = F.lit(None).cast("string")
     for name, make in made.items():
         out = F.when(kind == name, make(m, key)).otherwise(out)

@@ -186,7 +186,7 @@ def test_next_row(spark):
 
 PRIVATE = {
     "email": "anna.lee42@mail5.example.com", "ip": "152.143.123.131", "phone": "+1 (743) 555-3824", "card": "4737097684299439",
-    "date": "2021-02-28", "secret": "24be64439e3e49cf46b2d7c90f3602a3d0b907ff",
+    "iban": "GB82WEST12345698765432", "date": "2021-02-28", "secret": "24be64439e3e49cf46b2d7c90f3602a3d0b907ff",
 }
 
 
