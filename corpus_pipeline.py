@@ -42,9 +42,12 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The best segmentation of every row and how far the next ones are behind."""
-    found = segment.encode(docs.select(*DOCUMENTS), vocabulary_file())
-    return found.select("doc_id", "lang", "source", "n_chars", F.size("ids").cast("bigint").alias("n_pieces"), "score", "ids", "others")
+    """The best segmentation of every row, how far the next ones are behind, and the digest of the text that they decode to."""
+    found = segment.encode(docs.select(*DOCUMENTS), vocabulary_file(), read_back=True)
+    return found.select(
+        "doc_id", "lang", "source", "n_chars", F.size("ids").cast("bigint").alias("n_pieces"), "score", "ids", "others",
+        "decoded_chars", "decoded_sha256", "others_agree",
+    )
 
 
 STAGES = [

@@ -1,7 +1,7 @@
 """License scans by sentence rules.
 
 A text is cut into sentences and lines, these are brought to a normal form and looked up in a
-fixed table of known sentences. The identifiers of a document, in order, are matched against
+fixed table of known sentences; where one has names in it, a template with holes is matched. The identifiers of a document, in order, are matched against
 ordered rules: a rule names a sequence of identifiers and the license it means; a
 matched sequence is used up, so the general rules see what the special ones left.
 
@@ -15,11 +15,14 @@ scanned alike; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from retailmart.llm.text import filled
 
+
 def _free(what: str, name: str, version: str) -> tuple[str, str]:
     """The grant of the GNU notices, as one sentence and as what stands after ``free software:``."""
     grant = (
@@ -46,7 +49,10 @@ SENTENCES = {
     "mit-notice": ("the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",),
     "apache-2-name": ("licensed under the apache license version 2 0", "licensed under the apache license version 2 0 the license", "released under the apache license version 2 0"),
     "apache-comply": ("you may not use this file except in compliance with the license",),
-    "apache-grant": ("licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license",),
+    "apache-grant": (
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license",
+        "licensed to you under the apache license version 2 0 the license you may not use this file except in compliance with the license",
+    ),
     "apache-copy": (
         "you may obtain a copy of the license at",
         *(
@@ -81,6 +87,24 @@ SENTENCES = {
         "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
         "derived from this software without specific prior written permission",
     ),
+    "bsd-disclaimer": (
+        "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to "
+        "the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    ),
+    "mit-disclaimer": (
+        "the software is provided as is without warranty of any kind express or implied including but not limited to "
+        "the warranties of merchantability fitness for a particular purpose and noninfringement",
+    ),
+    "isc-disclaimer": (
+        "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness",
+    ),
+    "zlib-disclaimer": ("this software is provided as is without any express or implied warranty",),
+    "epl-2-name": ("this program and the accompanying materials are made available under the terms of the eclipse public license 2 0",),
+    "cc0-name": (
+        "cc0 1 0 universal", "creative commons zero v1 0 universal", "licensed under cc0 1 0", "this work is licensed under cc0 1 0", "this work is marked with cc0 1 0",
+        "this work is marked with cc0 1 0 universal", "released under cc0 1 0", "public domain dedication cc0 1 0",
+    ),
+    "spdx-expression": ("spdx license identifier mit or apache 2 0",),
     "mpl-2-name": ("this source code form is subject to the terms of the mozilla public license v 2 0",),
     "cc-by-4-name": _creative("by", "attribution"),
     "cc-by-sa-4-name": _creative("by sa", "attribution sharealike"),
@@ -101,8 +125,29 @@ SENTENCES = {
     "unlicense-refer": ("for more information please refer to http unlicense org", "for more information please refer to https unlicense org"),
     "reserved": ("all rights reserved",),
 }
+# fixed values: identifier -> normal forms with holes for names; each holds a sign, as known sentences do
+TEMPLATES = {
+    "bsd-names": (
+        r"^neither the names? of .{1,200} (?:nor|or) the names of .{0,60}contributors may be used to endorse or promote products "
+        r"derived from this software without (?:specific )?prior written permission$",
+    ),
+    "apache-grant": (
+        r"^.{1,100} licenses this file to you under the apache license version 2 0 the license you may not use this file except in compliance with the license$",
+    ),
+    "bsd-disclaimer": (
+        r"^this software is provided by .{1,200} as is and any express or implied warranties including but not limited to "
+        r"the implied warranties of merchantability and fitness for a particular purpose are disclaimed$",
+    ),
+    "epl-2-name": (
+        r"^this program and the accompanying materials are made available under the terms of the eclipse public license v? ?2 0"
+        r"(?: which (?:is available at https? www eclipse org legal epl .{1,20}|accompanies this distribution.{0,100}))?$",
+    ),
+    "cc0-name": (r"^to the extent possible under law .{1,200} ha(?:s|ve) (?:waived|dedicated) all copyright and related (?:or|and) neighbou?ring rights to .{1,200}$",),
+    "spdx-expression": (r"^spdx license identifier .{1,100} (?:and|or|with) .{1,100}$",),
+}
 # fixed values: ordered rules, special ones first
 RULES = (
+    (("mit-grant", "mit-notice", "mit-disclaimer"), "MIT"),
     (("mit-grant", "mit-notice"), "MIT"),
     (("mit-grant",), "MIT"),
     (("mit-name",), "MIT"),
@@ -112,7 +157,9 @@ RULES = (
     (("apache-grant", "apache-copy"), "Apache-2.0"),
     (("apache-grant",), "Apache-2.0"),
     (("apache-2-name",), "Apache-2.0"),
+    (("bsd-grant", "bsd-source", "bsd-binary", "bsd-names", "bsd-disclaimer"), "BSD-3-Clause"),
     (("bsd-grant", "bsd-source", "bsd-binary", "bsd-names"), "BSD-3-Clause"),
+    (("bsd-grant", "bsd-source", "bsd-binary", "bsd-disclaimer"), "BSD-2-Clause"),
     (("bsd-grant", "bsd-source", "bsd-binary"), "BSD-2-Clause"),
     (("gpl-free",), "GPL-3.0-or-later"),
     (("gpl-2-free",), "GPL-2.0-or-later"),
@@ -129,18 +176,32 @@ RULES = (
     (("cc-by-nd-4-name",), "CC-BY-ND-4.0"),
     (("cc-by-sa-4-name",), "CC-BY-SA-4.0"),
     (("cc-by-4-name",), "CC-BY-4.0"),
+    (("isc-grant", "isc-disclaimer"), "ISC"),
     (("isc-grant",), "ISC"),
+    (("0bsd-grant", "isc-disclaimer"), "0BSD"),
     (("0bsd-grant",), "0BSD"),
+    (("zlib-disclaimer", "zlib-grant"), "Zlib"),
     (("zlib-grant",), "Zlib"),
+    (("epl-2-name",), "EPL-2.0"),
+    (("cc0-name",), "CC0-1.0"),
     (("boost-name",), "BSL-1.0"),
     (("unlicense-refer",), "Unlicense"),
     (("reserved",), "All-rights-reserved"),
 )
 # fixed values: each known sentence contains one of these words
-SIGNS = ("licen[sc]e", "permission", "redistribut", "rights reserved", "under cc")
+SIGNS = ("licen[sc]e", "permission", "redistribut", "rights reserved", "under cc", "cc0", "commons zero", "neighbou?ring rights", "provided\\W+as\\W+is", "\\bas\\W+is\\W+and\\W+any")
+# a tag of one licence that the rules know
+TAGS = {f"spdx-{name.lower()}": name for _, name in RULES if name != "All-rights-reserved"}
+SENTENCES |= {tag: (f"spdx license identifier {re.sub('[^a-z0-9]+', ' ', name.lower())}",) for tag, name in TAGS.items()}
+RULES += tuple(((tag,), name) for tag, name in TAGS.items())
+
+# no sentence ends after the v. of a version, nor after a firm's short form if a small letter follows
+ENDS = r"(?<=[.!?:])(?<!\b[vV]\.)(?!(?<=\b(?:Inc|Ltd|Co|Corp)\.)\s+[a-z])[\"')\]]*\s+|\n\s*\n"
 
-# no sentence ends after the v. of a version
-ENDS = r"(?<=[.!?:])(?<!\b[vV]\.)[\"')\]]*\s+|\n\s*\n"
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def normal_form(text: Column) -> Column:
@@ -159,12 +220,15 @@ def scan(df: DataFrame, text: str = "text") -> DataFrame:
     known = F.create_map(*[F.lit(x) for name, forms in SENTENCES.items() for form in forms for x in (form, name)])
     out = df.select(*columns, F.when(filled(text).rlike(signs), filled(text)).alias("__text"))
 
+    def named(form: Column) -> Column:
+        return F.coalesce(F.element_at(known, form), *[F.when(form.rlike(t), F.lit(n)) for n, ts in TEMPLATES.items() for t in ts])
+
     def pieces(pattern: str) -> Column:
         texts, gaps = F.split(F.col("__text"), pattern, -1), F.regexp_extract_all("__text", F.lit(pattern), F.lit(0))
         start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<at:int,end:int,name:string>>").alias("found"))
 
         def placed(state: Column, x: Column) -> Column:
-            name = F.when(x["text"].rlike(signs), F.element_at(known, normal_form(x["text"])))
+            name = F.when(x["text"].rlike(signs), _let(normal_form(x["text"]), named))
             first = state["at"] + F.char_length(x["text"]) - F.char_length(F.regexp_replace(x["text"], r"^[^\p{L}\p{N}]+", ""))
             last = first + F.char_length(F.regexp_replace(x["text"], r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]++$", ""))
             here = F.array(F.struct(first.alias("at"), last.alias("end"), name.alias("name")))

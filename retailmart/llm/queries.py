@@ -101,10 +101,18 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The four best segmentations of every document: the best whole, the others as edits of it."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = segment.encode(docs, vocabulary_file())
-    return found.select("doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "score", "ids", "others")
+    """The four best segmentations of every document, the best whole, the others as edits of it; and what they decode to.
+
+    ``n_chars`` and ``text_sha256`` are the text's own, made apart from the encoder.
+    """
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", F.char_length(filled("text")).cast("bigint").alias("n_chars"), F.sha2(filled("text"), 256).alias("text_sha256"), "text"
+    )
+    found = segment.encode(docs, vocabulary_file(), read_back=True)
+    return found.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_pieces"), "score", "ids", "others",
+        "n_chars", "text_sha256", "decoded_chars", "decoded_sha256", "others_agree",
+    )
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

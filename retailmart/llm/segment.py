@@ -19,6 +19,7 @@ the text exactly.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import math
 import re
@@ -165,9 +166,13 @@ class Vocabulary:
 
     def decode(self, ids) -> str:
         """The text of a path: pieces and bytes, without the blank put before the text."""
-        raw = b"".join(self.text[i] for i in ids).decode("utf-8", "surrogatepass")
+        raw = self.raw(ids).decode("utf-8", "surrogatepass")
         return raw[1:] if raw.startswith(" ") else raw
 
+    def raw(self, ids) -> bytes:
+        """What pieces stand for, in UTF-8."""
+        return b"".join(map(self.text.__getitem__, ids))
+
 
 class _Words(dict):
     """Words by number, with their best paths in flat arrays."""
@@ -262,33 +267,54 @@ _EDITS = pa.list_(pa.struct([("score", pa.float64()), ("edits", pa.list_(pa.stru
 _FIELDS = "score double, ids array<int>, others array<struct<score: double, edits: array<struct<start: int, end: int, ids: array<int>>>>>"
 
 
-def _encoded(batches: Iterator[pa.RecordBatch], model: bytes, best: int) -> Iterator[pa.RecordBatch]:
+_READ_BACK = ", decoded_chars bigint, decoded_sha256 string, others_agree boolean"
+
+
+def _read_back(vocabulary: Vocabulary, ids: np.ndarray, others: list[dict]) -> tuple[int, str, bool]:
+    """Length and digest of the decoded best path, and whether all others decode alike.
+
+    A path's text is its pieces' bytes in order, so another path agrees if each of its edits stands for what it replaces.
+    """
+    text = vocabulary.decode(ids.tolist())
+    same = all(vocabulary.raw(e["ids"]) == vocabulary.raw(ids[e["start"] : e["end"]].tolist()) for path in others for e in path["edits"])
+    return len(text), hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest(), same
+
+
+def _encoded(batches: Iterator[pa.RecordBatch], model: bytes, best: int, read_back: bool) -> Iterator[pa.RecordBatch]:
     segmenter = Segmenter(Vocabulary(model), best)
     for batch in batches:
-        start, scores, flat, ends, others = 0, [], [], [0], []
+        start, scores, flat, ends, others, again = 0, [], [], [0], [], []
         for i, text in enumerate(batch.column(batch.num_columns - 1)):
             score, ids, rest = segmenter.segment(text.as_py())
             scores.append(score)
             flat.append(ids)
             ends.append(ends[-1] + len(ids))
             others.append([{"score": s, "edits": [{"start": a, "end": b, "ids": p} for a, b, p in edits]} for s, edits in rest])
+            if read_back:
+                again.append(_read_back(segmenter.vocabulary, ids, others[-1]))
             if ends[-1] > 1_000_000 or i + 1 == len(batch):
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flat)))
                 found = [pa.array(scores, pa.float64()), ids, pa.array(others, _EDITS)]
+                names = ["score", "ids", "others"]
+                if read_back:
+                    found += [pa.array(x, t) for x, t in zip(zip(*again, strict=True), (pa.int64(), pa.string(), pa.bool_()), strict=True)]
+                    names += ["decoded_chars", "decoded_sha256", "others_agree"]
                 kept = batch.slice(start, i + 1 - start).columns[:-1]
-                yield pa.RecordBatch.from_arrays([*kept, *found], [*batch.schema.names[:-1], "score", "ids", "others"])
-                start, scores, flat, ends, others = i + 1, [], [], [0], []
+                yield pa.RecordBatch.from_arrays([*kept, *found], [*batch.schema.names[:-1], *names])
+                start, scores, flat, ends, others, again = i + 1, [], [], [0], [], []
 
 
-def encode(df: DataFrame, model: bytes, text: str = "text", best: int = BEST) -> DataFrame:
+def encode(df: DataFrame, model: bytes, text: str = "text", best: int = BEST, read_back: bool = False) -> DataFrame:
     """All columns but the text, and ``score``, ``ids``, ``others``: the best path, and up to ``best - 1`` further ones as edits of it.
 
-    Columns of these names are replaced.
+    With ``read_back`` the paths are decoded in the same task: ``decoded_chars`` and ``decoded_sha256`` (UTF-8) of the text that the
+    best path gives, and ``others_agree``, whether all further ones give the same. Columns of these names are replaced.
     """
-    columns = [c for c in df.columns if c not in (text, "score", "ids", "others")]
-    schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns), _FIELDS])
+    added = ("score", "ids", "others", *(("decoded_chars", "decoded_sha256", "others_agree") if read_back else ()))
+    columns = [c for c in df.columns if c not in (text, *added)]
+    schema = ", ".join([*(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns), _FIELDS + (_READ_BACK if read_back else "")])
     rows = df.select(*columns, F.col(text).cast("string"))
-    return rows.mapInArrow(partial(_encoded, model=model, best=best), schema)
+    return rows.mapInArrow(partial(_encoded, model=model, best=best, read_back=read_back), schema)
 
 
 def _decoded(batches: Iterator[pa.RecordBatch], model: bytes) -> Iterator[pa.RecordBatch]:

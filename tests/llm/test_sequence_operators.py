@@ -268,6 +268,18 @@ def test_encode_and_decode(documents):
     back = segment.decode(coded.drop("others", "score"), vocabulary_file())
     assert sorted(((r.doc_id, r.text) for r in back.collect()), key=repr) == sorted(((k, t or "") for k, t in rows), key=repr)
     assert segment.encode(df.limit(0), vocabulary_file()).count() == 0
+    again = segment.encode(df, vocabulary_file(), read_back=True).collect()
+    said = {(k, len(t or ""), hashlib.sha256((t or "").encode()).hexdigest()) for k, t in rows}
+    assert {(r.doc_id, r.decoded_chars, r.decoded_sha256) for r in again} == said and all(r.others_agree for r in again) and len(again) == len(rows)
+
+
+def test_paths_that_say_something_else_are_told(documents):
+    vocabulary = segment.Vocabulary(vocabulary_file())
+    _, ids, others = segment.Segmenter(vocabulary).segment("the end of it")
+    paths = [{"edits": [{"start": a, "end": b, "ids": p} for a, b, p in edits]} for _, edits in others]
+    assert segment._read_back(vocabulary, ids, paths)[2]
+    paths[0]["edits"][0]["ids"] = [*paths[0]["edits"][0]["ids"], int(ids[-1])]
+    assert not segment._read_back(vocabulary, ids, paths)[2]
 
 
 def test_pipeline_stages(spark, documents):
