@@ -166,8 +166,7 @@ class Vocabulary:
 
     def decode(self, ids) -> str:
         """The text of a path: pieces and bytes, without the blank put before the text."""
-        raw = self.raw(ids).decode("utf-8", "surrogatepass")
-        return raw[1:] if raw.startswith(" ") else raw
+        return self.raw(ids).removeprefix(b" ").decode("utf-8", "surrogatepass")
 
     def raw(self, ids) -> bytes:
         """What pieces stand for, in UTF-8."""
@@ -275,9 +274,10 @@ def _read_back(vocabulary: Vocabulary, ids: np.ndarray, others: list[dict]) -> t
 
     A path's text is its pieces' bytes in order, so another path agrees if each of its edits stands for what it replaces.
     """
-    text = vocabulary.decode(ids.tolist())
-    same = all(vocabulary.raw(e["ids"]) == vocabulary.raw(ids[e["start"] : e["end"]].tolist()) for path in others for e in path["edits"])
-    return len(text), hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest(), same
+    best = ids.tolist()
+    raw = vocabulary.raw(best).removeprefix(b" ")
+    same = all(vocabulary.raw(e["ids"]) == vocabulary.raw(best[e["start"] : e["end"]]) for path in others for e in path["edits"])
+    return len(raw.decode("utf-8", "surrogatepass")), hashlib.sha256(raw).hexdigest(), same
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], model: bytes, best: int, read_back: bool) -> Iterator[pa.RecordBatch]:
