@@ -43,7 +43,7 @@ BANDS, ROWS = 32, 6
 SLOTS = BANDS * ROWS
 BLOCK = 256  # members of a bucket in one block of step 4
 _COLUMNS = 4096
-_ELEMENTS = 200_000  # shingles signed at once
+_ELEMENTS = 50_000  # shingles signed at once; ranks take 384 bytes of each
 
 
 def _signed(batches: Iterator[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
