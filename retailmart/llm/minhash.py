@@ -251,11 +251,14 @@ def without_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", s
     The rows come back by id and text; of rows equal in both, the first by the other columns stays.
     """
     rows = _groups(df, key, text, shingle, percent)
-    alone = F.col("node").isNull().alias("__alone")
-    leads = rows.where(F.col("node").isNull() | (F.col("row") == F.col("lead.row"))).select(F.col("id").alias("__id"), F.col("first").alias("__a"), F.col("second").alias("__b"), alone).distinct()
+    known = rows.groupBy(F.col("id").alias("__id"), F.col("first").alias("__a"), F.col("second").alias("__b")).agg(
+        F.max(F.col("node").isNull()).alias("__alone"), F.max(F.coalesce(F.col("row") == F.col("lead.row"), F.lit(False))).alias("__leads"), F.count("*").alias("__rows")
+    )
+    known = written(known.where("__alone or __leads").select("__id", "__a", "__b", (F.col("__alone") | (F.col("__rows") == 1)).alias("__all")), "leads")
     marked = df.select("*", *[c.alias(f"__{n}") for c, n in zip(_whole(text), ("first", "second"), strict=True)])
     same = F.col(key).eqNullSafe(F.col("__id")) & (F.col("__first") == F.col("__a")) & (F.col("__second") == F.col("__b"))
+    # only texts that stand in several rows of one id are sorted
     others = [F.col(c).asc_nulls_first() for c in df.columns if c not in (key, text)]
     among = Window.partitionBy("__id", "__a", "__b").orderBy(*others) if others else Window.partitionBy("__id", "__a", "__b").orderBy("__a")
-    placed = marked.join(leads, same).withColumn("__place", F.row_number().over(among))
-    return placed.where(F.col("__alone") | (F.col("__place") == 1)).select(*df.columns)
+    repeated = marked.join(known.where("not __all"), same).withColumn("__place", F.row_number().over(among)).where("__place = 1")
+    return marked.join(known.where("__all"), same).select(*df.columns).unionByName(repeated.select(*df.columns))
