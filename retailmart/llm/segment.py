@@ -112,23 +112,28 @@ class Vocabulary:
         n = len(word)
         forward, second, last = [0] * (n + 1), [_NEVER] * (n + 1), [None] * (n + 1)
         done = 0
-        for end, (length, known) in self.found.iter(word):
+        for end, arc in self.found.iter(word):
             end += 1
             if end != done:
-                self._spell(word, done, end - 1, forward, last)
-                done, forward[end] = end, _NEVER
-            start = end - length
-            score = forward[start] + known[1]
+                if end - 1 != done:
+                    self._spell(word, done, end - 1, forward, last)
+                # the first piece that ends here
+                done, last[end] = end, arc
+                forward[end] = forward[end - arc[0]] + arc[1][1]
+                continue
+            score = forward[end - arc[0]] + arc[1][1]
             if score > forward[end]:
-                second[end], forward[end], last[end] = forward[end], score, (start, known)
+                second[end], forward[end], last[end] = forward[end], score, arc
             elif score > second[end]:
                 second[end] = score
-        self._spell(word, done, n, forward, last)
+        if done != n:
+            self._spell(word, done, n, forward, last)
         ids, place, loss = [], n, -_NEVER
         while place:
             if forward[place] - second[place] < loss:
                 loss = forward[place] - second[place]
-            place, known = last[place]
+            length, known = last[place]
+            place -= length
             ids.append(known[0])
         if loss > -_NEVER // 2:
             loss = -_NEVER
@@ -138,7 +143,7 @@ class Vocabulary:
         """Places at which no piece ends are reached by bytes only."""
         for place in range(start + 1, end + 1):
             known = self.spelled(word[place - 1])
-            forward[place], last[place] = forward[place - 1] + known[1], (place - 1, known)
+            forward[place], last[place] = forward[place - 1] + known[1], (1, known)
 
     def paths(self, word: str, best: int) -> list[tuple[int, tuple[int, ...]]]:
         """The best paths of one word, best first; of equal scores the one found last goes first, so equals do not fan out."""
