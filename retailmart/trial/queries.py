@@ -39,7 +39,8 @@ from retailmart.sources.store import Store
 from retailmart.trial.staging import staging, trial_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
-PACKED = "gzip"  # CSV files of the ingest queries: a file for each task and number, so none is large
+# CSV files of the ingest queries: a file for each task and number, so none is large. They are read once, so they are packed fast rather than small.
+PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 LEFT_OUT = ("pet_category", "product_description", "supplier_contact")  # columns that one header lacks
 
 
@@ -69,9 +70,8 @@ def _ingest_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staging written as three numbered groups of CSV files, read back by the ingest."""
     folder = f"{shared_folder(spark)}/csv-{uuid.uuid4().hex}"
     rows = read(spark, sf_dir).withColumn("file", F.col("sale_seller_id") % 3)
-    writer = rows.write.partitionBy("file").option("header", True).option("compression", PACKED)
     with wide_steps(spark):
-        writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+        rows.write.partitionBy("file").options(header=True, **PACKED).csv(folder)
     removed_at_end(spark, folder)
     return ingest_csv(spark, folder, pattern="file=*", number="file=([0-9]+)")
 
@@ -92,9 +92,8 @@ def _faulty_files(spark: SparkSession, sf_dir: str) -> str:
     line = F.concat(line, F.when(F.col("id") % of == left, ",more").otherwise(""))
     # the whole line is one cell under the whole header
     rows = rows.select(line.alias(",".join(STAGING.names)), (F.col("sale_seller_id") % 3).alias("file"))
-    writer = rows.write.partitionBy("file").option("header", True).option("compression", PACKED).option("sep", "\u0001").option("quote", "")
     with wide_steps(spark):
-        writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+        rows.write.partitionBy("file").options(header=True, sep="\u0001", quote="", **PACKED).csv(folder)
     removed_at_end(spark, folder)
     return folder
 
@@ -116,9 +115,8 @@ def _ingest_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     headers = (names, names[::-1], [c for c in names if c not in LEFT_OUT])
     for number, header in enumerate(headers):
         rows = read(spark, sf_dir).where(F.col("sale_seller_id") % 3 == number).select(*header)
-        writer = rows.write.option("header", True).option("compression", PACKED).option("ignoreLeadingWhiteSpace", False)
         with wide_steps(spark):
-            writer.option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/file={number}")
+            rows.write.options(header=True, **PACKED).csv(f"{folder}/file={number}")
     removed_at_end(spark, folder)
     return ingest_csv(spark, folder, pattern="file=*", number="file=([0-9]+)", mixed_headers=True)
 
